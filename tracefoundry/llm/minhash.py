@@ -14,8 +14,9 @@ From candidates to links without all pairs of a bucket:
 2. members of buckets that are not yet connected are looked at again.  Two
    sets that reach the threshold share one of their n - ceil(t * n) + 1 rarest
    shingles, so members of different components that share a rare shingle are
-   compared in blocks of sketches, and pairs that can be links (size ratio,
-   sketch agreement) are confirmed on full sets.  A passage that very many
+   compared in blocks of sketches, and pairs that can be links (by size, by
+   the shingles that either shares with any document at all, and by sketch
+   agreement) are confirmed on full sets.  A passage that very many
    documents share is never among their rarest shingles, so it makes no pairs.
 
 Pairs already connected need no test: only components are returned.
@@ -141,13 +142,16 @@ def _blocks(percent: int):
         for group in tk.runs(batches, "pair"):
             n = group.column("n_shingles").to_numpy()
             comp = group.column("component").to_numpy()
+            common = group.column("common").to_numpy()
             ids = group.column("doc_id").to_numpy()
             side = group.column("side").to_numpy(zero_copy_only=False)
             sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype=np.uint32).reshape(-1, T)
             left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
             a, b = [], []
             for i in left:
-                may = right[(comp[right] != comp[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
+                # no pair shares more than either has in common with anything
+                most = np.minimum(common[right], common[i])
+                may = right[(comp[right] != comp[i]) & ((100 + percent) * most >= percent * (n[right] + n[i]))]
                 if len(may):
                     hit = may[(sig[may] == sig[i]).sum(axis=1) >= AGREE]
                     hit = hit[(side[hit] != 2) | (side[i] != 2) | (hit > i)]
@@ -197,17 +201,19 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     parts = cut(texts.join(unsettled, "doc_id").mapInArrow(_elements, "doc_id long, component long, element long, n long").distinct(), "op7-elements")
     seen = parts.groupBy("element").agg(F.count("*").alias("seen"))
     rarest = Window.partitionBy("doc_id").orderBy("seen", "element")
-    prefix = parts.join(seen, "element").withColumn("place", F.row_number().over(rarest)).where(f"place <= n - ceil({percent} * n / 100) + 1 and seen > 1")
-    prefix = cut(prefix.select(F.col("element").alias("bucket"), "doc_id", "component"), "op7-prefix")
+    prefix = parts.join(seen, "element").withColumn("place", F.row_number().over(rarest))
+    prefix = prefix.withColumn("common", F.count_if(F.col("seen") > 1).over(Window.partitionBy("doc_id")))
+    prefix = prefix.where(f"seen > 1 and place <= n - ceil({percent} * n / 100) + 1")
+    prefix = cut(prefix.select(F.col("element").alias("bucket"), "doc_id", "component", "common"), "op7-prefix")
     alive = prefix.groupBy("bucket").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = prefix.join(alive.select("bucket", "size"), "bucket")
     blocks = open_.select(
-        "doc_id", "component",
+        "doc_id", "component", "common",
         F.expr("ceil(size / %d)" % CELL).cast("int").alias("blocks"), "bucket",
     ).withColumn("own", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
-    spread = blocks.select("doc_id", "component", "bucket", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    spread = blocks.select("doc_id", "component", "common", "bucket", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select(
-        "doc_id", "component",
+        "doc_id", "component", "common",
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
