@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,23 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         now = after
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def hooks(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the matrix ``hit`` of left and right nodes connects.
+
+    At most one edge per row and column, however many hits there are:
+    each node that has hits is hooked to the smallest node of its component.
+    """
+    none = np.iinfo(np.int64).max
+    low_r = np.where(hit.any(axis=0), right, none)
+    while True:
+        low_l = np.where(hit, low_r[None, :], none).min(axis=1, initial=none)
+        low_l = np.where(hit.any(axis=1), np.minimum(low_l, left), none)
+        after = np.minimum(low_r, np.where(hit, low_l[:, None], none).min(axis=0, initial=none))
+        if (after == low_r).all():
+            break
+        low_r = after
+    nodes, lows = np.concatenate([left, right]), np.concatenate([low_l, low_r])
+    use = (lows != none) & (lows != nodes)
+    return lows[use], nodes[use]

@@ -13,18 +13,19 @@ From candidates to links without all pairs of a bucket:
    buckets with others; pairs are confirmed on full sets;
 2. members of buckets that are not yet connected are looked at again.  Two
    sets that reach the threshold share one of their n - ceil(t * n) + 1 rarest
-   shingles, so members of different components that share a rare shingle are
-   compared in blocks of sketches, and pairs that can be links (by size, by
-   the shingles that either shares with any document at all, and by sketch
-   agreement) are confirmed on full sets.  A passage that very many
-   documents share is never among their rarest shingles, so it makes no pairs.
+   shingles, so only documents that share such a shingle with another
+   component stay; a passage that very many documents share is never among
+   their rarest shingles.  Those that stay meet in blocks, with all shingles
+   that any two of them share, and a block's intersections are one product of
+   incidence matrices.  A block returns at most one edge per document.
 
 Pairs already connected need no test: only components are returned.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +34,46 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .common import cut, drop_cut, ship, width
-from .components import connected_components
+from .components import connected_components, hooks
+
+Shingler = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+class Scheme(NamedTuple):
+    """How sets are made and sketched: ``bands`` bands of ``rows`` coordinates of ``dtype``."""
+
+    name: str
+    shingler: Shingler
+    bands: int
+    rows: int
+    dtype: np.dtype
+
+    @property
+    def coordinates(self) -> int:
+        return self.bands * self.rows
+
+    @property
+    def width(self) -> int:
+        return self.coordinates * self.dtype.itemsize
 
-T = 128
-ROWS = 4
-BANDS = T // ROWS
-#: Members of a bucket compared with a pivot in one task group, and side of a block of sketches.
-CELL = 200
-#: Coordinates of two sketches that agree, below which 100 * J >= 75 is ruled out: 75 % less five standard deviations.
-AGREE = int(T * 0.75 - 5 * (T * 0.75 * 0.25) ** 0.5)
 
+def word_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return tk.shingles(tk.words(data, offsets))
 
-def sketch(packed: np.ndarray, docs: int) -> np.ndarray:
-    """(docs, T) uint32 sketch of sets packed as in :func:`textkit.shingles`; zeros for an empty set."""
+
+#: A pair at similarity 0.75 misses all 32 bands of 4 once in 190,000 times.
+WORDS = Scheme("op7", word_shingles, 32, 4, np.dtype(np.uint32))
+
+#: Members compared with a pivot in one task group.
+CELL = 200
+#: Documents of a cluster that meet in one group; members of larger clusters meet by bucket.
+CLUSTER = 20_000
+#: Shingles in a block.
+BLOCK = 300_000
+
+def sketch(packed: np.ndarray, docs: int, scheme: Scheme = WORDS) -> np.ndarray:
+    """(docs, coordinates) sketch of sets packed as in :func:`textkit.shingles`; of an empty set, a constant."""
+    T = scheme.coordinates
     owner = (packed >> np.uint64(tk.FP_BITS)).astype(np.int64)
     element = packed & np.uint64((1 << tk.FP_BITS) - 1)
     empty = np.uint64(2**64 - 1)
@@ -54,30 +82,31 @@ def sketch(packed: np.ndarray, docs: int) -> np.ndarray:
         if not len(owner):
             break
         h = tk.mix(element + np.uint64((r + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        place = (h >> np.uint64(57)).astype(np.int64) if r < T else np.full(len(h), r - T)
+        place = ((h >> np.uint64(48)) * np.uint64(T) >> np.uint64(16)).astype(np.int64) if r < T else np.full(len(h), r - T)
         np.minimum.at(best, owner * T + place, (np.uint64(r) << np.uint64(48)) | (h & np.uint64((1 << 48) - 1)))
         open_ = (best.reshape(docs, T) == empty).any(axis=1)[owner]
         owner, element = owner[open_], element[open_]
-    return (tk.mix(best) >> np.uint64(32)).astype(np.uint32).reshape(docs, T)
+    return (tk.mix(best) >> np.uint64(64 - 8 * scheme.dtype.itemsize)).astype(scheme.dtype).reshape(docs, T)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    width = WORDS.width
     for batch in batches:
         ids = batch.column("doc_id")
         for row, data, offsets in tk.slices(batch.column("text")):
             docs = len(offsets) - 1
-            packed, sizes = tk.shingles(tk.words(data, offsets))
+            packed, sizes = word_shingles(data, offsets)
             first = np.concatenate([[0], np.cumsum(sizes)])
             element = packed & np.uint64((1 << tk.FP_BITS) - 1)
             keys = [tk.per_doc(tk.mix(element + np.uint64(s)), first) for s in (11, 12)]
             sig = sketch(packed, docs).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(row, docs), pa.array(sizes), *(pa.array(k.view(np.int64)) for k in keys), pa.array([sig[i * 4 * T : (i + 1) * 4 * T] if n else b"" for i, n in enumerate(sizes)], pa.binary())],
+                [ids.slice(row, docs), pa.array(sizes), *(pa.array(k.view(np.int64)) for k in keys), pa.array([sig[i * width : (i + 1) * width] if n else b"" for i, n in enumerate(sizes)], pa.binary())],
                 ["doc_id", "n_shingles", "k1", "k2", "sig"],
             )
 
 
-def _confirm(percent: int):
+def _confirm(shingler: Shingler, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, pivot, pivot_id = None, np.zeros(0, np.uint64), None
         for batch in batches:
@@ -86,7 +115,7 @@ def _confirm(percent: int):
             member = batch.column("member").to_numpy(zero_copy_only=False)
             a, b = [], []
             for row, data, offsets in tk.slices(batch.column("text")):
-                packed, sizes = tk.shingles(tk.words(data, offsets))
+                packed, sizes = shingler(data, offsets)
                 first = np.concatenate([[0], np.cumsum(sizes)])
                 element = packed & np.uint64((1 << tk.FP_BITS) - 1)
                 for i in range(len(sizes)):
@@ -109,7 +138,7 @@ def _confirm(percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, shingler: Shingler, percent: int) -> DataFrame:
     """Of ``pairs`` (a, b), those whose full shingle sets reach ``percent``.
 
     A hub ``a`` and up to CELL of its ``b`` form a cell; a hub with more is
@@ -124,45 +153,105 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     )
     placed = roles.join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
     dealt = placed.repartition(width(spark), "cell").sortWithinPartitions("cell", "member", "id")
-    return dealt.mapInArrow(_confirm(percent), "a long, b long")
+    return dealt.mapInArrow(_confirm(shingler, percent), "a long, b long")
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component"))
-        for row, data, offsets in tk.slices(batch.column("text")):
-            packed, sizes = tk.shingles(tk.words(data, offsets))
-            owner = (packed >> np.uint64(tk.FP_BITS)).astype(np.int64)
-            element = (packed & np.uint64((1 << tk.FP_BITS) - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[row + owner], comp[row + owner], element, sizes[owner])], ["doc_id", "component", "element", "n"])
+def _elements(shingler: Shingler):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component"))
+            for row, data, offsets in tk.slices(batch.column("text")):
+                packed, sizes = shingler(data, offsets)
+                owner = (packed >> np.uint64(tk.FP_BITS)).astype(np.int64)
+                element = (packed & np.uint64((1 << tk.FP_BITS) - 1)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[row + owner], comp[row + owner], element, sizes[owner])], ["doc_id", "component", "element", "n"])
+
+    return run
 
 
 def _blocks(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in tk.runs(batches, "pair"):
-            n = group.column("n_shingles").to_numpy()
-            comp = group.column("component").to_numpy()
-            common = group.column("common").to_numpy()
-            ids = group.column("doc_id").to_numpy()
-            side = group.column("side").to_numpy(zero_copy_only=False)
-            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype=np.uint32).reshape(-1, T)
+            n, comp, ids, side = (group.column(c).to_numpy() for c in ("n", "component", "doc_id", "side"))
+            lists = group.column("elements").combine_chunks()
+            owner = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+            _, place, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+            met = times[place] > 1
+            owner, place = owner[met], np.unique(place[met], return_inverse=True)[1]
+            # side 0 meets side 1; a block that meets itself is side 2
             left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-            a, b = [], []
-            for i in left:
-                # no pair shares more than either has in common with anything
-                most = np.minimum(common[right], common[i])
-                may = right[(comp[right] != comp[i]) & ((100 + percent) * most >= percent * (n[right] + n[i]))]
-                if len(may):
-                    hit = may[(sig[may] == sig[i]).sum(axis=1) >= AGREE]
-                    hit = hit[(side[hit] != 2) | (side[i] != 2) | (hit > i)]
-                    a.append(np.minimum(ids[hit], ids[i]))
-                    b.append(np.maximum(ids[hit], ids[i]))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            both = np.zeros((len(left), len(right)), dtype=np.float32)
+            order = np.argsort(place, kind="stable")
+            owner, place = owner[order], place[order]
+            for at in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
+                lo, hi = np.searchsorted(place, [at, at + 4096])
+                part = np.zeros((len(ids), 4096), dtype=np.float32)
+                part[owner[lo:hi], place[lo:hi] - at] = 1
+                both += part[left] @ part[right].T
+            hit = (100 + percent) * both >= percent * (n[left][:, None] + n[right][None, :])
+            hit &= comp[left][:, None] != comp[right][None, :]
+            low, high = hooks(hit, ids[left], ids[right])
+            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
     return run
 
 
+def buckets_of(unique: DataFrame, scheme: Scheme) -> DataFrame:
+    """(bucket, doc_id, size) of the sketches in ``unique`` (doc_id, n_shingles, sig), without buckets of one."""
+    step = scheme.width // scheme.bands
+    bucket = f"transform(sequence(0, {scheme.bands - 1}), i -> xxhash64(i, substring(sig, i * {step} + 1, {step})))"
+    banded = unique.select("doc_id", F.explode(F.expr(bucket)).alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    return cut(banded.join(shared, "bucket"), f"{scheme.name}-bands")
+
+
+def links_of(rows: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) -> DataFrame:
+    """Edges (a, b) whose components are those of all pairs in a bucket that reach ``percent``.
+
+    ``rows`` are those of :func:`buckets_of`; ``texts`` (doc_id, text) has each document once.
+    """
+    spark, name = rows.sparkSession, scheme.name
+    degree = rows.groupBy("doc_id").agg(F.sum("size").alias("degree"))
+    ranked = rows.join(degree, "doc_id").select("bucket", F.struct("degree", F.negative("doc_id").alias("id")).alias("rank"))
+    pivots = ranked.groupBy("bucket").agg(F.max("rank").alias("top")).select("bucket", F.negative(F.col("top.id")).alias("pivot"))
+    stars = rows.join(pivots, "bucket").where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
+    stars = cut(stars, f"{name}-stars")
+    links = cut(confirmed(stars, texts, scheme.shingler, percent), f"{name}-links")
+
+    labels = cut(connected_components(links, f"{name}-round1"), f"{name}-labels")
+    tagged = rows.join(labels, F.col("doc_id") == F.col("node"), "left").select("bucket", "size", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    mixed = tagged.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("size").alias("rows"))
+    # pairs with the pivot are settled, so two members leave nothing to compare
+    mixed = mixed.where("lo < hi and rows > 2").select("bucket")
+    tagged = cut(tagged.join(mixed, "bucket", "left_semi").select("bucket", "doc_id", "component"), f"{name}-unsettled")
+    unsettled = tagged.groupBy("doc_id").agg(F.first("component").alias("component"))
+    parts = cut(texts.join(unsettled, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_elements(scheme.shingler), "doc_id long, component long, element long, n long"), f"{name}-elements")
+    seen = parts.groupBy("element").agg(F.count("*").alias("seen"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rarest = Window.partitionBy("doc_id").orderBy("seen", "element")
+    shared = parts.join(seen, "element").withColumn("rare", F.row_number().over(rarest) <= F.expr(f"n - ceil({percent} * n / 100) + 1"))
+    shared = shared.where("seen > 1").groupBy("doc_id", "component", "n").agg(F.max(F.expr("rare and lo < hi")).alias("alive"), F.collect_list("element").alias("elements"))
+    alive = cut(shared.where("alive").drop("alive"), f"{name}-alive")
+
+    open_ = tagged.join(alive.select("doc_id"), "doc_id", "left_semi")
+    hubs = open_.groupBy("bucket").agg(F.min("doc_id").alias("hub"))
+    edges = open_.join(hubs, "bucket").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    clusters = cut(connected_components(edges, f"{name}-clusters"), f"{name}-cluster")
+    sizes = clusters.groupBy("component").agg(F.count("*").alias("docs"))
+    clusters = clusters.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "docs")
+    group = F.when(F.col("docs") <= CLUSTER, F.xxhash64(F.lit(0), "cluster")).otherwise(F.xxhash64(F.lit(1), "bucket"))
+    members = open_.join(clusters, "doc_id").select("doc_id", group.alias("group")).distinct().join(alive, "doc_id")
+    members = cut(members, f"{name}-members")
+    load = members.groupBy("group").agg(F.ceil(F.sum(F.size("elements")) / BLOCK).cast("int").alias("blocks"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    dealt = members.join(load.where("lo < hi").select("group", "blocks"), "group").withColumn("own", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
+    spread = dealt.select("*", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).select(
+        "doc_id", "component", "n", "elements",
+        F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
+        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
+    )
+    placed = spread.repartition(width(spark), "pair").sortWithinPartitions("pair", "doc_id")
+    return links.union(cut(placed.mapInArrow(_blocks(percent), "a long, b long"), f"{name}-more"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, ...): doc_id, n_shingles, component_id, kept.
 
@@ -180,47 +269,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = held.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     reps = classes.select("rep").distinct()
     unique = cut(held.join(reps, held.doc_id == reps.rep, "left_semi").select("doc_id", "n_shingles", "sig").dropDuplicates(["doc_id"]), "op7-unique")
-
-    bucket = f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sig, i * {4 * ROWS} + 1, {4 * ROWS})))"
-    banded = unique.select("doc_id", F.explode(F.expr(bucket)).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    rows = cut(banded.join(shared, "bucket"), "op7-bands")
-    degree = rows.groupBy("doc_id").agg(F.sum("size").alias("degree"))
-    ranked = rows.join(degree, "doc_id").select("bucket", F.struct("degree", F.negative("doc_id").alias("id")).alias("rank"))
-    pivots = ranked.groupBy("bucket").agg(F.max("rank").alias("top")).select("bucket", F.negative(F.col("top.id")).alias("pivot"))
-    stars = rows.join(pivots, "bucket").where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = cut(stars, "op7-stars")
-    links = cut(confirmed(stars, texts, percent), "op7-links")
-
-    labels = cut(connected_components(links, "op7-round1"), "op7-labels")
-    tagged = rows.join(labels, F.col("doc_id") == F.col("node"), "left").select("bucket", "size", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = tagged.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("size").alias("rows"))
-    # pairs with the pivot are settled, so two members leave nothing to compare
-    mixed = mixed.where("lo < hi and rows > 2").select("bucket")
-    unsettled = cut(tagged.join(mixed, "bucket", "left_semi").groupBy("doc_id").agg(F.first("component").alias("component")), "op7-unsettled")
-    parts = cut(texts.join(unsettled, "doc_id").mapInArrow(_elements, "doc_id long, component long, element long, n long").distinct(), "op7-elements")
-    seen = parts.groupBy("element").agg(F.count("*").alias("seen"))
-    rarest = Window.partitionBy("doc_id").orderBy("seen", "element")
-    prefix = parts.join(seen, "element").withColumn("place", F.row_number().over(rarest))
-    prefix = prefix.withColumn("common", F.count_if(F.col("seen") > 1).over(Window.partitionBy("doc_id")))
-    prefix = prefix.where(f"seen > 1 and place <= n - ceil({percent} * n / 100) + 1")
-    prefix = cut(prefix.select(F.col("element").alias("bucket"), "doc_id", "component", "common"), "op7-prefix")
-    alive = prefix.groupBy("bucket").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ = prefix.join(alive.select("bucket", "size"), "bucket")
-    blocks = open_.select(
-        "doc_id", "component", "common",
-        F.expr("ceil(size / %d)" % CELL).cast("int").alias("blocks"), "bucket",
-    ).withColumn("own", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
-    spread = blocks.select("doc_id", "component", "common", "bucket", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    spread = spread.select(
-        "doc_id", "component", "common",
-        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
-        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-    )
-    placed = spread.join(unique, "doc_id").repartition(width(spark), "pair").sortWithinPartitions("pair", "doc_id")
-    more = cut(placed.mapInArrow(_blocks(percent), "a long, b long").distinct(), "op7-more")
-    links = links.union(cut(confirmed(more, texts, percent), "op7-links2"))
-    drop_cut(rows)
+    links = links_of(buckets_of(unique, WORDS), texts, WORDS, percent)
 
     joined = cut(connected_components(links, "op7-all"), "op7-joined")
     named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
