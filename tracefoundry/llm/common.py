@@ -73,3 +73,21 @@ def width(spark: SparkSession) -> int:
 def unit(key, salt: int = 0):
     """Column in (0, 1): a hash of ``key``, the same in every run."""
     return (F.shiftrightunsigned(F.xxhash64(F.lit(salt), key), 11).cast("double") + 0.5) / float(2**53)
+
+
+def narrowed(rows: DataFrame, ids: DataFrame, on: list[str], name: str) -> DataFrame:
+    """Rows of a large table whose ``on`` columns are among those of ``ids``, as a table.
+
+    Spark builds a Bloom filter from ``ids`` while they are few, so other rows
+    end in the scan and are never shuffled; with too many ids it is a plain
+    semi-join.  The filter needs a predicate on the side it is built from.
+    """
+    spark = rows.sparkSession
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "0")
+    try:
+        least = F.lit(-(2**63)).cast("long")
+        return cut(rows.join(ids.where(F.col(on[0]) >= least), on, "left_semi"), name)
+    finally:
+        spark.conf.set(key, before)

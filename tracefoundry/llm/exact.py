@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut, drop_cut, width
+from .common import SPACE, cut, drop_cut, narrowed, width
 
 MAX_DEPTH = 14
 #: Rows of a bucket before it splits, and rows of one key in one cell.
@@ -101,7 +101,7 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     plan = keys.where("rows > 1").select("key", slot.alias("slot"), F.ceil(F.col("rows") / CELL).cast("int").alias("cells"))
     # 2**MAX_DEPTH slots at most, so the broadcast is bounded
     plan = cut(plan.join(F.broadcast(table), "slot").drop("slot"), "op5-directory")
-    held = entries.withColumn("key", hash_key(F.col("norm"))).join(plan, "key")
+    held = narrowed(entries.withColumn("key", hash_key(F.col("norm"))), plan, ["key"], "op5-copies").join(plan, "key")
     cell = F.pmod(F.xxhash64("doc_id", "points"), F.col("cells")).cast("int")
     open_ = cut(held.select("bucket", "key", "cells", cell.alias("cell"), "doc_id", "points", "norm"), "op5-entries")
 

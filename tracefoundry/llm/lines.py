@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import cut, ship
+from .common import cut, narrowed, ship
 from .components import connected_components
 from .minhash import Scheme, buckets_of, links_of, sketch
 
@@ -95,7 +95,9 @@ def fuzzy_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     wanted = classes.join(rows.select(F.col("doc_id").alias("line_id")).distinct(), "line_id", "left_semi")
     by_doc = wanted.groupBy("doc_id", "whole").agg(F.collect_list(F.struct("line_no", "line_id")).alias("want"))
     whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("whole", F.xxhash64("text"))
-    asked = whole.join(by_doc, ["doc_id", "whole"]).select(F.split("text", "\n").alias("lines"), F.explode("want").alias("w"))
+    by_doc = cut(by_doc, "op8-asked")
+    held_docs = narrowed(whole, by_doc.select("doc_id", "whole"), ["doc_id", "whole"], "op8-docs")
+    asked = held_docs.join(by_doc, ["doc_id", "whole"]).select(F.split("text", "\n").alias("lines"), F.explode("want").alias("w"))
     texts = asked.select(F.col("w.line_id").alias("doc_id"), F.lower(F.trim(F.element_at("lines", (F.col("w.line_no") + 1).cast("int")))).alias("text"))
     texts = cut(texts.dropDuplicates(["doc_id"]), "op8-texts")
     links = links_of(rows, texts, SCHEME, percent)
