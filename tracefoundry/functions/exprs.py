@@ -32,9 +32,17 @@ def signed(x: Column, digits: int) -> Column:
 
 
 def rounded(x: Column, digits: int) -> Column:
-    """``round(x, digits)`` of a float; null, NaN and infinities pass."""
+    """``round(x, digits)`` of a float; null, NaN and infinities pass.
+
+    ``format_number`` takes the shortest digits of numbers below one unit of
+    the last place, so whether their tie goes up is decided here.
+    """
     plain = fixed(x, digits).cast("double")
-    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(plain)
+    unit, size = 10.0**-digits, F.abs(x)
+    half = 0.5 * unit
+    up = size >= half if round(half, digits) else size > half
+    small = F.signum(x) * F.when(up, F.lit(round(unit, digits))).otherwise(F.lit(0.0))
+    return F.when(F.isnan(x) | (size == float("inf")), x).when(size < unit, small).otherwise(plain)
 
 
 def float_text(x: Column) -> Column:

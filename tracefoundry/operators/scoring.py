@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,8 +70,6 @@ def judged_quality(outcome: Column, consistency: Column, source: Column, specifi
 
 def judge_scores(examples: DataFrame, judge) -> DataFrame:
     """``examples`` with ``consistency``, an injected judge's 1 to 5 per Arrow batch; null where it fails."""
-    import pandas as pd
-
     @F.pandas_udf("int")
     def run(context: pd.Series, reasoning: pd.Series, direction: pd.Series) -> pd.Series:
         try:

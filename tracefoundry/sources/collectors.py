@@ -49,7 +49,7 @@ class JournalCollector(Collector):
         self.journal_dir = journal_dir
 
     def collect(self, spark: SparkSession) -> DataFrame:
-        files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").option("recursiveFileLookup", True).text(self.journal_dir)
+        files = spark.read.text(self.journal_dir, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=True)
         entries = files.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", r"(?m)^(?=# )")).alias("at", "entry")).where(F.trim("entry") != "")
         day = F.regexp_extract("entry", r"(\d{4}-\d{2}-\d{2}(?:T[\d:.]+(?:Z|[+-]\d{2}:\d{2})?)?)", 1)
         named = F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})", 1)
