@@ -9,7 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tracefoundry.llm import embed, exact, lines, minhash, textkit
+from tracefoundry.llm import embed, exact, lines, minhash, mixing, textkit, trie
 from tracefoundry.llm.components import connected_components
 
 from .cases import DOCS, components, documents, frame, prose
@@ -113,7 +113,7 @@ def test_sketch_estimates_similarity():
 
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
-    for f in (exact.exact_duplicates, minhash.near_duplicates, lines.fuzzy_lines, lines.drop_lines):
+    for f in (exact.exact_duplicates, minhash.near_duplicates, lines.fuzzy_lines, lines.drop_lines, mixing.mix, trie.token_counts):
         assert f(none).count() == 0
     assert embed.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

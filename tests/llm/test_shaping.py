@@ -40,7 +40,7 @@ def brute_targets(sizes):
 def test_mix(spark, seed):
     rows = documents(seed)
     if seed == 3:
-        rows = [(*r[:3], "only" if i else None, *r[4:]) for i, r in enumerate(rows)]
+        rows = [(*r[:3], "only" if r[0] != rows[0][0] else None, *r[4:]) for r in rows]
     got = mixing.mix(frame(spark, rows)).collect()
     again = mixing.mix(frame(spark, rows[::-1])).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
@@ -166,7 +166,7 @@ def test_word_cache_is_exact(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
     own = tokens.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
     rng = random.Random(3)
-    texts = [None, "", "don't stop's 'ST x's.", "a<|endoftext|>b <|ENDOFTEXT|>", "ΣΑΣ. ΟΔΟΣ İstanbul été x\u00a0y", "12ab34 $$$ ab### ''", "Á́ 日本語 テスド 가각", "x\x1cy z\x85w"]
+    texts = [None, "", "don't stop's 'ST x's.", "a<|endoftext|>b <|ENDOFTEXT|>", "end... a.b, x*** (ok). é. y.\tz-", "ΣΑΣ. ΟΔΟΣ İstanbul été x\u00a0y", "12ab34 $$$ ab### ''", "Á́ 日本語 テスド 가각", "x\x1cy z\x85w"]
     texts += [prose(rng, 200).replace("th", rng.choice(["TH", "é", "'", "3", "|"])) for _ in range(20)]
     for part in (texts[:5], texts[5:20], texts[20:], texts):
         ids, at = own.encode(part)
@@ -241,7 +241,7 @@ def test_em_recovers_accuracies():
     votes = np.where(rng.random((20_000, 8)) < 0.2, 0, votes)
     pattern = quality._pattern(votes)
     p, n = np.unique(pattern, return_counts=True)
-    good = quality.estimate(dict(zip(p.tolist(), n.tolist())))
+    good = quality.estimate(dict(zip(p.tolist(), n.tolist())), false_alarms=1.0)
     assert np.mean((np.array([good[x] for x in pattern.tolist()]) > 0.5) == truth) > 0.97
     assert abs(sum(good[a] * b for a, b in zip(p.tolist(), n.tolist())) / n.sum() - truth.mean()) < 0.02
 
@@ -254,7 +254,7 @@ def test_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = quality.classify(docs).join(labels, "doc_id").collect()
     clean, junk = ([r["kept"] for r in got if r["quality"] == q] for q in (1, 0))
-    assert np.mean(clean) > 0.97 and np.mean(junk) < 0.25
+    assert np.mean(clean) > 0.99 and np.mean(junk) < 0.05
 
 
 def test_pipeline(spark):

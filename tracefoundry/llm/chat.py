@@ -65,7 +65,7 @@ def fold(events: DataFrame) -> DataFrame:
             F.when(kind == "delete", F.lit(True)).when(kind.isin("message", "edit", "delta", "regenerate"), F.lit(False)).otherwise(state["gone"]).alias("gone"),
         )
 
-    done = grouped.select("conv_id", "message", F.element_at("steps", 1).alias("first"), F.coalesce(F.element_at(F.filter("steps", lambda e: e["kind"] == "message"), 1)["role"], F.element_at(F.filter("steps", lambda e: e["role"].isNotNull()), 1)["role"], F.lit("")).alias("role"), F.aggregate("steps", start, apply).alias("end"))
+    done = grouped.select("conv_id", "message", F.element_at("steps", 1).alias("first"), F.coalesce(F.get(F.filter("steps", lambda e: e["kind"] == "message"), F.lit(0))["role"], F.get(F.filter("steps", lambda e: e["role"].isNotNull()), F.lit(0))["role"], F.lit("")).alias("role"), F.aggregate("steps", start, apply).alias("end"))
     return done.where("not end.gone").select("conv_id", F.struct("first.late", "first.seq").alias("place"), "message", "role", F.col("end.text").alias("text"))
 
 

@@ -27,6 +27,8 @@ LABELLERS = ("symbols", "capitals", "bare_words", "variety", "runs", "word_lengt
 SAMPLE = 8192
 DIM = 4096
 STEPS = 250
+#: How often a labeller may call a good document bad, at most: labellers are built to be precise, not complete.
+FALSE_ALARMS = 0.001
 
 _CLASS = np.full(256, 1, dtype=np.int64)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -57,7 +59,7 @@ class Measures:
         solid = np.maximum(over_bytes(kinds != 0), 1)
         self.symbols = over_bytes(kinds >= 4) / solid
         self.capitals = over_bytes(kinds == 2) / np.maximum(letters, 1)
-        lettered = np.concatenate([[0], np.cumsum((kinds == 1) | (kinds == 2))])
+        lettered = np.concatenate([[0], np.cumsum((kinds >= 1) & (kinds <= 3))])
         self.bare = over_words(lettered[w.end] == lettered[w.start]) / n
         owner = np.repeat(np.arange(docs), self.words)
         pairs, distinct = tk.shingles(w, 1)
@@ -81,18 +83,18 @@ class Measures:
         self.bins = tk.mix(code).astype(np.int64) & (DIM - 1)
 
     def votes(self) -> np.ndarray:
-        """(docs, labellers) of -1, 0, 1; texts of fewer than five words get no vote."""
-        some, many = self.words >= 5, self.words >= 40
+        """(docs, labellers) of -1, 0, 1; most need some words to vote at all."""
+        some, many = self.words >= 10, self.words >= 40
 
         def vote(bad, good, may=some):
             return np.where(may & bad, -1, np.where(may & good, 1, 0))
 
         return np.stack([
             vote(self.symbols > 0.12, self.symbols < 0.07),
-            vote(self.capitals > 0.35, self.capitals < 0.15),
-            vote(self.bare > 0.10, self.bare < 0.02),
+            vote(self.capitals > 0.5, self.capitals < 0.2),
+            vote(self.bare > 0.15, self.bare < 0.05),
             vote(self.variety < 0.15, self.variety > 0.35, many),
-            vote(self.runs > 0.10, self.runs < 0.03),
+            vote(self.runs > 0.25, self.runs < 0.10),
             vote((self.length < 2.5) | (self.length > 14), (self.length > 3.5) & (self.length < 9)),
             vote((self.sentences < 0.01) | (self.sentences > 0.5), (self.sentences > 0.02) & (self.sentences < 0.35), many),
             vote(self.bigrams < 0.35, self.bigrams > 0.7, many),
@@ -144,23 +146,31 @@ def _scored(posterior: dict[int, float], weights: np.ndarray, bias: float, thres
     return run
 
 
-def estimate(counts: dict[int, int], labellers: int = len(LABELLERS), steps: int = 200) -> dict[int, float]:
+def estimate(counts: dict[int, int], labellers: int = len(LABELLERS), steps: int = 200, false_alarms: float = FALSE_ALARMS) -> dict[int, float]:
     """Probability of good for each vote pattern, by expectation-maximisation.
 
-    Labellers are taken as independent given the class.  The start is the
-    share of good votes, so "good" is what most labellers call good.
+    Labellers are taken as independent given the class, and a labeller that
+    does not vote says nothing.  The start takes a bad vote as strong
+    evidence, since a labeller has one kind of bad text in view and finds
+    others good; the steps then learn from agreement how far each is right.
+    The share of bad votes on good documents is held to ``false_alarms``, the
+    prior without which a kind of bad text that one labeller alone sees would
+    pass as that labeller's error.
     """
     patterns = np.array(sorted(counts), dtype=np.int64)
     n = np.array([counts[int(p)] for p in patterns], dtype=float)
     votes = patterns[:, None] // 3 ** np.arange(labellers) % 3
-    good = np.where((votes != 1).any(axis=1), (votes == 2).sum(axis=1) / np.maximum((votes != 1).sum(axis=1), 1), 0.5)
-    good = np.clip(good, 0.05, 0.95)
+    good = np.where((votes != 1).any(axis=1), 0.97 * 0.2 ** (votes == 0).sum(axis=1), 0.8)
+    said = votes != 1
     for _ in range(steps):
         classes = np.stack([1 - good, good]) * n
         share = (classes.sum(axis=1) + 1) / (n.sum() + 2)
-        table = np.stack([(classes[:, :, None] * (votes == v)).sum(axis=1) + 1.0 for v in range(3)], axis=-1)
+        table = np.stack([(classes[:, :, None] * (votes == v)).sum(axis=1) + 1.0 for v in (0, 2)], axis=-1)
         table /= table.sum(axis=-1, keepdims=True)
-        like = np.log(share)[:, None] + np.log(table[:, np.arange(labellers)[None, :], votes]).sum(axis=-1)
+        table[1, :, 0] = np.minimum(table[1, :, 0], false_alarms)
+        table[1, :, 1] = 1 - table[1, :, 0]
+        told = np.log(table[:, np.arange(labellers)[None, :], votes // 2])
+        like = np.log(share)[:, None] + (told * said).sum(axis=-1)
         after = 1 / (1 + np.exp(np.clip(like[0] - like[1], -700, 700)))
         if np.abs(after - good).max() < 1e-9:
             break
