@@ -409,3 +409,23 @@ def test_streams_equal_batch(spark, tmp_path):
     source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
     assert drain(stream_dedup(source, "ts", "1 day", ["symbol"]), "firsts").count() == 1
     assert drain(stream_volume(source), "volumes", "complete").agg(F.sum("volume")).first()[0] == 4.0
+
+
+def test_stream_legs_equal_fold(spark, tmp_path):
+    from tracefoundry.streaming.netting import stream_legs
+
+    rng = random.Random(5)
+    rows = [(f"S{rng.randrange(3)}", i, rng.choice(["buy", "sell"]), rng.randrange(1, 50), rng.choice([0, 1, 1, 2]), 0.25) for i in range(120)]
+    fills = as_fills(spark, rows, 1).withColumn("fill_id", F.col("ordinal.row")).drop("ordinal", "ts_raw")
+    for part in (0, 1):
+        fills.where((F.col("fill_id") >= 60 * part) & (F.col("fill_id") < 60 * part + 60)).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        source = spark.readStream.schema(fills.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        q = stream_legs(source).writeStream.format("memory").queryName("legs").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
+        q.processAllAvailable()
+        q.stop()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    got = sorted((r["symbol"], r["direction"], round(r["avg_entry_price"], 6), r["avg_exit_price"], r["total_qty"], round(r["total_fee"], 6)) for r in spark.table("legs").collect())
+    assert got == fold(rows)
