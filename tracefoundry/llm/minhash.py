@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import cut, drop_cut, ship, width
+from .common import cut, narrowed, ship, width
 from .components import connected_components, hooks
 
 Shingler = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -269,7 +269,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = held.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     reps = classes.select("rep").distinct()
     unique = cut(held.join(reps, held.doc_id == reps.rep, "left_semi").select("doc_id", "n_shingles", "sig").dropDuplicates(["doc_id"]), "op7-unique")
-    links = links_of(buckets_of(unique, WORDS), texts, WORDS, percent)
+    rows = buckets_of(unique, WORDS)
+    asked = cut(rows.select("doc_id").distinct(), "op7-asked")
+    texts = narrowed(texts, asked, ["doc_id"], "op7-texts")
+    links = links_of(rows, texts, WORDS, percent)
 
     joined = cut(connected_components(links, "op7-all"), "op7-joined")
     named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
