@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 from pathlib import Path
 
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
+_own: set[str] = set()
+
 #: Java regular expression class of the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -26,13 +30,18 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only a local session that names none gets ``/tmp/checkpoints``.
+    Only a local session that names none gets a folder in ``/tmp/checkpoints``,
+    which goes when Python ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
-        named = "file:///tmp/checkpoints"
+        own = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
+        if own not in _own:
+            _own.add(own)
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+        return f"file://{own}"
     return f"{named.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
