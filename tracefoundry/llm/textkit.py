@@ -51,10 +51,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of pieces of a string column; null counts as empty.
 
-    A piece ends at SLICE_BYTES or SLICE_DOCS; one document is never divided.
+    A piece ends at ``most`` bytes or SLICE_DOCS; one document is never divided.
     """
     column = pc.fill_null(column, "").cast(pa.large_string())
     n = len(column)
@@ -63,7 +63,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < n:
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1
         end = max(row + 1, min(end, row + SLICE_DOCS, n))
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
