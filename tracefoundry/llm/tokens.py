@@ -9,17 +9,27 @@ after the other, and a cache of words gives them exactly.
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 from array import array
+from collections.abc import Sequence
 from itertools import repeat
 
 import numpy as np
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 
-#: Punctuation that the pattern keeps together after a run of letters; no apostrophe, which can begin a contraction.
-_LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([.,!?;:*$%&#()\-]*)")
+#: Marks that the pattern keeps together after a run of letters, so that they are a pre-token of their own.
+#: No apostrophe, which can begin a contraction, and no sign of a special token.
+MARKS = b".,!?;:*$%&#()-"
+TAIL_BITS = 32
+
+
+def _letters(word: bytes) -> bool:
+    """Whether a word is one run of letters for the tokenizer, also once composed and lower-cased."""
+    if word.isascii():
+        return word.isalpha()
+    text = word.decode("utf-8")
+    return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
 
 
 class WordTokenizer:
@@ -34,48 +44,43 @@ class WordTokenizer:
         self._clear()
 
     def _clear(self) -> None:
+        #: word -> code of its letters and code of its marks; codes are places in starts and lens
         self.code: dict[bytes, int] = {}
-        self.cores: dict[str, list[int]] = {}
-        self.flat, self.starts, self.lens = array("I"), array("q"), array("q")
-
-    def _encode(self, items: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(items, add_special_tokens=False)]
-
-    def _encode_cores(self, cores: list[str]) -> None:
-        """Runs of letters are one pre-token each, so many are encoded as one text and told apart by word ends."""
-        for at in range(0, len(cores), 1000):
-            part = cores[at : at + 1000]
-            ids = np.array(self.model.encode(" ".join(part), add_special_tokens=False).ids)
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            made = [x.tolist() for x in np.split(ids, cut[:-1])] if len(cut) == len(part) else self._encode(part)
-            self.cores.update(zip(part, made))
-
-    def _learn(self, new: list[bytes]) -> None:
-        if len(self.code) + len(new) > CACHE_WORDS:
-            self._clear()
-        split, odd = {}, []
+        self.part: dict[bytes, int] = {b"": 0}
+        self.flat, self.starts, self.lens = array("I"), array("q", [0]), array("q", [0])
+
+    def _add(self, parts: Sequence[bytes], ids: Sequence[int], lens: np.ndarray) -> None:
+        first = len(self.starts)
+        self.starts.extend((len(self.flat) + np.cumsum(lens) - lens).tolist())
+        self.lens.extend(lens.tolist())
+        self.flat.extend(ids)
+        self.part.update(zip(parts, range(first, first + len(parts))))
+
+    def _add_each(self, parts: list[bytes]) -> None:
+        found = [e.ids for e in self.model.encode_batch_fast([w.decode("utf-8") for w in parts], add_special_tokens=False)]
+        self._add(parts, [i for ids in found for i in ids], np.array([len(ids) for ids in found], dtype=np.int64))
+
+    def _learn(self, new: set[bytes]) -> None:
+        split = []
         for w in new:
-            s = w.decode("utf-8")
-            m = _LETTERS_THEN_MARKS.fullmatch(s)
-            if m and (s.isascii() or unicodedata.normalize("NFC", m[1]).lower().isalpha()):
-                split[w] = m.groups()
+            core = w.rstrip(MARKS)
+            split.append((w, core, w[len(core) :]) if core and _letters(core) else (w, w, b""))
+        part = self.part
+        tails = {t for _, _, t in split if t not in part}
+        cores = {c for _, c, _ in split if c not in part}
+        self._add_each(sorted(tails))
+        plain = [c for c in cores if _letters(c)]
+        # runs of letters are one pre-token each: many are encoded as one text and told apart by word ends
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
+            ids = self.model.encode(b" ".join(some).decode("utf-8"), add_special_tokens=False).ids
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                self._add(some, ids, np.diff(ends, prepend=0))
             else:
-                odd.append(w)
-        missing = {c for c, _ in split.values() if c not in self.cores}
-        self._encode_cores(sorted(missing))
-        tails = sorted({t for _, t in split.values() if t and t not in self.cores})
-        self.cores.update(zip(tails, self._encode(tails)))
-        own = dict(zip(odd, self._encode([w.decode("utf-8") for w in odd])))
-        for w in new:
-            if w in split:
-                core, tail = split[w]
-                ids = self.cores[core] + self.cores[tail] if tail else self.cores[core]
-            else:
-                ids = own[w]
-            self.code[w] = len(self.starts)
-            self.starts.append(len(self.flat))
-            self.lens.append(len(ids))
-            self.flat.extend(ids)
+                self._add_each(some)
+        self._add_each([c for c in cores - tails if not _letters(c)])
+        self.code.update((w, part[c] << TAIL_BITS | part[t]) for w, c, t in split)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text among them); null counts as empty."""
@@ -88,17 +93,18 @@ class WordTokenizer:
             words += own
         codes = np.fromiter(map(self.code.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         if len(miss := np.flatnonzero(codes < 0)):
-            size = len(self.code)
-            self._learn(list({words[i] for i in miss}))
-            if len(self.code) < size:  # the cache began anew
-                self._learn([w for w in set(words) if w not in self.code])
-                codes = np.fromiter(map(self.code.__getitem__, words), dtype=np.int64, count=len(words))
-            else:
-                codes[miss] = [self.code[words[i]] for i in miss]
-        n = np.array(self.lens, dtype=np.int64)[codes]
+            new = {words[i] for i in miss}
+            if len(self.code) + len(new) > CACHE_WORDS:
+                self._clear()
+                new, miss = set(words), np.arange(len(words))
+            self._learn(new)
+            codes[miss] = [self.code[words[i]] for i in miss]
+        pairs = np.stack([codes >> TAIL_BITS, codes & ((1 << TAIL_BITS) - 1)], axis=1)
+        n = np.array(self.lens, dtype=np.int64)[pairs].ravel()
         ends = np.cumsum(n)
-        source = np.repeat(np.array(self.starts, dtype=np.int64)[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        source = np.repeat(np.array(self.starts, dtype=np.int64)[pairs].ravel() - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
         ids = np.array(self.flat, dtype=np.uint32)[source]
+        ends = ends[1::2]
         return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
 
 
