@@ -166,6 +166,20 @@ def test_embeddings(spark, monkeypatch, per_cell):
         assert 0.95 * there <= found <= there
 
 
+def test_embeddings_near_threshold_in_many_cells(spark, monkeypatch):
+    """Pairs just above the threshold, without clusters, in 128 cells fitted on few of them: every link is found."""
+    monkeypatch.setattr(embed, "SAMPLE", 250)
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(2, 1000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.931 * x + np.sqrt(1 - 0.931**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([x, y]))]
+    rows += [(2000 + i, v.tolist(), 1) for i, v in enumerate(y[:9])]
+    got = embed.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), per_cell=10)
+    assert sorted(map(tuple, got.collect())) == sorted((i, int(i < 2000), i % 1000 if i < 2000 else i, i < 1000 or i >= 2000) for i, _, _ in rows)
+
+
 def line_set(line):
     raw = line.strip(" ").lower().encode()
     return {raw[i : i + 8] for i in range(len(raw) - 7)} if len(raw) >= 8 else ({raw} if raw else set())

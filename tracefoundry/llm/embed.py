@@ -2,12 +2,19 @@
 
 Equal vectors of a label collapse first, with their number.  Centroids are
 fitted on a bounded sample; every vector has the cell of its nearest centroid
-as home and visits the next PROBES nearest, where it is compared with those
-at home there.  Cells hold vectors of one label and dimension only.  Cells
-are cut into blocks of BLOCK rows; a task multiplies one block of residents
-by one block of residents or visitors, in double precision, and returns only
-numbers of links and the edges of a spanning forest: at most one row per row
-it read, never the pairs.
+as home and visits each other cell that can hold a vector at the threshold.
+No link is lost: if y is at most an angle f from x and nearer to centroid b
+than to x's own a, then x is at most sin f beyond the plane between a and b.
+Of two cells only one visits the other, so a pair meets once.  Clustered
+vectors visit few cells; for vectors without clusters the bound excludes
+little, and the work nears that of all pairs of a label.  A label has as many
+cells as its size asks for: the first ones of the common list of centroids.
+
+Cells hold vectors of one label and dimension only.  Cells are cut into
+blocks of BLOCK rows; a task multiplies one block of residents by one block
+of residents or visitors, in double precision, and returns only numbers of
+links and the edges of a spanning forest: at most one row per row it read,
+never the pairs.
 """
 
 from __future__ import annotations
@@ -25,11 +32,10 @@ from .components import connected_components, hooks
 
 #: Vectors that centroids are fitted on, at most about this many.
 SAMPLE = 16_384
-#: Vectors per centroid aimed at, and centroids at most.
+#: Vectors of a label per centroid aimed at, and centroids at most.
 PER_CELL = 2_000
 MOST_CELLS = 4_096
-PROBES = 3
-BLOCK = 512
+BLOCK = 2_048
 ROUNDS = 8
 
 
@@ -46,20 +52,44 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centre
 
 
-def _assign(centres: np.ndarray, probes: int):
+def visits_of(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Home of each unit row of ``x``, and the matrix of cells it visits.
+
+    For two rows at ``threshold`` with different homes, exactly one visits the other's.
+    """
+    near = x @ centres.T
+    home = np.argmax(near, axis=1)
+    apart = np.sqrt(np.maximum(2 - 2 * (centres[home] @ centres.T), 0))
+    reach = np.sqrt(max(1 - threshold**2, 0)) if threshold > 0 else 1.0
+    # the slack covers rounding
+    may = near.max(axis=1)[:, None] - near <= reach * apart + 1e-6
+    cell = np.arange(len(centres))
+    own = home[:, None]
+    return home, may & (cell != own) & ((own < cell) ^ ((own + cell) % 2 == 1))
+
+
+def _assign(centres: np.ndarray, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("embedding")
             fits = np.diff(column.offsets.to_numpy()) == centres.shape[1]
             x = column.filter(pa.array(fits)).flatten().to_numpy().reshape(-1, centres.shape[1])
-            homes, near = np.full(len(fits), -1, np.int32), [[] for _ in range(len(fits))]
+            with np.errstate(all="ignore"):
+                x = np.nan_to_num(x / np.sqrt((x * x).sum(axis=1, keepdims=True)))
+            cells = np.minimum(batch.column("cells").to_numpy()[fits], len(centres))
+            homes, near = np.full(len(fits), -1, np.int32), [np.zeros(0, np.int32)] * len(fits)
             rows = np.flatnonzero(fits)
-            for at in range(0, len(rows), 500):
-                best = np.argsort(-(x[at : at + 500] @ centres.T), axis=1, kind="stable")[:, : probes + 1]
-                for i, own in zip(rows[at : at + 500], best.tolist()):
-                    homes[i], near[i] = own[0], own[1:]
-            made = [pa.array(homes), pa.array(near, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "home", "visits"])
+            for k in np.unique(cells):
+                own = np.flatnonzero(cells == k)
+                for at in range(0, len(own), 500):
+                    some = own[at : at + 500]
+                    home, visits = visits_of(x[some], centres[:k], threshold)
+                    homes[rows[some]] = home
+                    for i, row in zip(rows[some], visits):
+                        near[i] = np.flatnonzero(row).astype(np.int32)
+            offsets = np.cumsum([0, *map(len, near)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *near])))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(homes), lists], [*batch.schema.names, "home", "visits"])
 
     return run
 
@@ -67,9 +97,7 @@ def _assign(centres: np.ndarray, probes: int):
 def _products(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in tk.runs(batches, "task"):
-            ids, copies, home, side = (group.column(c).to_numpy() for c in ("rep", "copies", "home", "side"))
-            cell = int(group.column("cell")[0].as_py())
-            visits = group.column("visits").to_pylist()
+            ids, copies, side = (group.column(c).to_numpy() for c in ("rep", "copies", "side"))
             x = group.column("embedding").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
             norm = np.sqrt((x * x).sum(axis=1))
             # side 0: residents that all others are compared with; 1: the other block; 2: both (a block with itself)
@@ -80,17 +108,10 @@ def _products(threshold: float):
                 hit = (x[a] @ x[b].T) / (norm[a][:, None] * norm[b][None, :]) >= threshold
             hit &= a[:, None] != b[None, :]
             links = np.zeros(len(ids), dtype=np.int64)
-            guest = home[b] != cell
-            # a resident that visits its guest's home counts the pair there
-            mutual = np.zeros_like(hit)
-            if guest.any():
-                for j, i in enumerate(a):
-                    if visits[i]:
-                        mutual[j] = guest & np.isin(home[b], visits[i])
             both = side[b] == 2
             links[b] += (hit * copies[a][:, None]).sum(axis=0)
             # in a block with itself, the line above counts both directions
-            one = hit & ~mutual & ~both[None, :]
+            one = hit & ~both[None, :]
             links[a] += (one * copies[b][None, :]).sum(axis=1)
             found = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays([pa.array(ids[found]), pa.array(links[found]), *(pa.nulls(len(found), pa.int64()),) * 2], ["rep", "links", "a", "b"])
@@ -100,7 +121,7 @@ def _products(threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PER_CELL, probes: int = PROBES) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PER_CELL) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label, ...): vec_id, n_links, component_id, kept.
 
     Vectors link if their labels and dimensions are equal, their labels are
@@ -124,16 +145,21 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PE
     picked = usable.join(classes.select("label", "key", "rep", "copies"), ["label", "key"]).where("vec_id = rep")
     unique = cut(picked.select("label", "key", "rep", "copies", "embedding").dropDuplicates(["label", "key"]), "op6-unique")
 
-    dims = unique.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    total, dim = (dims["n"], dims["d"]) if dims else (0, 1)
-    cells = int(min(MOST_CELLS, max(1, total // per_cell)))
+    groups = unique.groupBy("label", F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
+    dims = groups.groupBy("dim").agg(F.sum("n").alias("n"), F.max("n").alias("most")).orderBy(F.desc("n"), "dim").first()
+    total, dim, most = (dims["n"], dims["dim"], dims["most"]) if dims else (0, 1, 0)
+    cells = int(min(MOST_CELLS, max(1, most // per_cell)))
     chosen = unique.where((F.size("embedding") == dim) & (unit(F.struct("label", "key"), 6) < SAMPLE / max(total, 1)))
-    taken = [r["embedding"] for r in chosen.orderBy("label", "key").limit(2 * SAMPLE).select("embedding").collect()] if cells > 1 else []
+    # in an order without meaning, as labels take the first centroids
+    taken = [r["embedding"] for r in chosen.orderBy(unit(F.struct("label", "key"), 7), "label", "key").limit(2 * SAMPLE).select("embedding").collect()] if cells > 1 else []
     centres = spherical_kmeans(np.array(taken, dtype=np.float64), min(cells, len(taken))) if taken else np.eye(1, dim)
 
-    schema = "label int, rep long, copies long, embedding array<double>, home int, visits array<int>"
-    shaped = unique.select(F.col("label").cast("int").alias("label"), "rep", "copies", F.transform("embedding", lambda v: v.cast("double")).alias("embedding"))
-    placed = cut(shaped.mapInArrow(_assign(centres, probes), schema), "op6-placed")
+    schema = "label int, rep long, copies long, embedding array<double>, cells int, home int, visits array<int>"
+    # a power of two, so that few numbers of cells are about
+    asked = groups.select("label", "dim", F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.lit(1.0), F.col("n") / per_cell)))).cast("int").alias("cells"))
+    sized = unique.withColumn("dim", F.size("embedding")).join(asked, ["label", "dim"])
+    shaped = sized.select(F.col("label").cast("int").alias("label"), "rep", "copies", F.transform("embedding", lambda v: v.cast("double")).alias("embedding"), "cells")
+    placed = cut(shaped.mapInArrow(_assign(centres, threshold), schema), "op6-placed")
 
     cell = [F.col("label"), F.size("embedding").alias("dim"), "home"]
     sizes = placed.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -147,16 +173,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PE
     residents = residents.join(crowd, ["label", "dim", "cell"], "left").withColumn("parties", F.coalesce("parties", F.lit(0)))
     guests = guests.join(crowd, ["label", "dim", "cell"]).withColumn("own", F.expr("cast(pmod(xxhash64(rep, 1), parties) as int)"))
 
-    keep = ["rep", "copies", "embedding", "home", "visits", "cell"]
-    inner = residents.select(*keep, "label", "dim", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    keep = ["rep", "copies", "embedding"]
+    inner = residents.select(*keep, "label", "dim", "cell", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
     inner = inner.select(
         *keep,
         F.xxhash64("label", "dim", "cell", F.least("own", "other"), F.greatest("own", "other"), F.lit(0)).alias("task"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    hosts = residents.where("parties > 0").select(*keep, "label", "dim", "own", F.explode(F.expr("sequence(0, parties - 1)")).alias("other"))
+    hosts = residents.where("parties > 0").select(*keep, "label", "dim", "cell", "own", F.explode(F.expr("sequence(0, parties - 1)")).alias("other"))
     hosts = hosts.select(*keep, F.xxhash64("label", "dim", "cell", "own", "other", F.lit(1)).alias("task"), F.lit(0).alias("side"))
-    coming = guests.select(*keep, "label", "dim", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    coming = guests.select(*keep, "label", "dim", "cell", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
     coming = coming.select(*keep, F.xxhash64("label", "dim", "cell", "other", "own", F.lit(1)).alias("task"), F.lit(1).alias("side"))
     work = inner.union(hosts).union(coming).repartition(width(spark), "task").sortWithinPartitions("task", "rep")
     found = cut(work.mapInArrow(_products(threshold), "rep long, links long, a long, b long"), "op6-found")
