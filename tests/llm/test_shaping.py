@@ -246,6 +246,20 @@ def test_em_recovers_accuracies():
     assert abs(sum(good[a] * b for a, b in zip(p.tolist(), n.tolist())) / n.sum() - truth.mean()) < 0.02
 
 
+def test_em_finds_out_a_labeller_that_misfires():
+    """Production setting: one labeller calls 5 % of good documents bad, junk is mostly seen by one or two."""
+    rng = np.random.default_rng(9)
+    truth = rng.random(20_000) < 0.86
+    sees = np.array([0.69, 0.22, 0.25, 0.23, 0.24, 0.01, 0.33, 0.45])
+    alarms = np.array([0.0002] * 4 + [0.05] + [0.0002] * 3)
+    votes = np.where(rng.random((20_000, 8)) < np.where(truth[:, None], alarms, sees), -1, 1)
+    pattern = quality._pattern(votes)
+    p, n = np.unique(pattern, return_counts=True)
+    good = quality.estimate(dict(zip(p.tolist(), n.tolist())))
+    kept = np.array([good[x] for x in pattern.tolist()]) > 0.5
+    assert kept[truth].mean() > 0.99 and kept[~truth].mean() < 0.15
+
+
 def test_held_out_labels(spark):
     import os
 

@@ -29,8 +29,10 @@ DIM = 4096
 #: Bytes of text measured at a time; the arrays of a slice take some 60 times as much.
 SLICE = 1 << 20
 STEPS = 250
-#: How often a labeller may call a good document bad, at most: labellers are built to be precise, not complete.
+#: How often a labeller is expected to call a good document bad: labellers are built to be precise, not complete.
 FALSE_ALARMS = 0.001
+#: Weight of that expectation against a labeller's votes on good documents; the corpus shifts the share by a quarter.
+TRUST = 3.0
 
 _CLASS = np.full(256, 1, dtype=np.int64)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -148,29 +150,33 @@ def _scored(posterior: dict[int, float], weights: np.ndarray, bias: float, thres
     return run
 
 
-def estimate(counts: dict[int, int], labellers: int = len(LABELLERS), steps: int = 200, false_alarms: float = FALSE_ALARMS) -> dict[int, float]:
+def estimate(counts: dict[int, int], labellers: int = len(LABELLERS), steps: int = 200, false_alarms: float = FALSE_ALARMS, trust: float = TRUST) -> dict[int, float]:
     """Probability of good for each vote pattern, by expectation-maximisation.
 
     Labellers are taken as independent given the class, and a labeller that
     does not vote says nothing.  The start takes a bad vote as strong
     evidence, since a labeller has one kind of bad text in view and finds
     others good; the steps then learn from agreement how far each is right.
-    The share of bad votes on good documents is held to ``false_alarms``, the
-    prior without which a kind of bad text that one labeller alone sees would
-    pass as that labeller's error.
+    The share of bad votes on good documents has a Beta prior of mean
+    ``false_alarms`` (1 for no prior) that weighs ``trust`` times the votes of
+    a labeller, without which a kind of bad text that one labeller alone sees
+    would pass as that labeller's error.  It has no ceiling: a labeller that
+    misfires often, and more than its bad texts explain, is found out.  Votes
+    alone cannot tell rarer misfires from such a kind of bad text, and where
+    all labellers err often the prior is wrong.
     """
     patterns = np.array(sorted(counts), dtype=np.int64)
     n = np.array([counts[int(p)] for p in patterns], dtype=float)
     votes = patterns[:, None] // 3 ** np.arange(labellers) % 3
     good = np.where((votes != 1).any(axis=1), 0.97 * 0.2 ** (votes == 0).sum(axis=1), 0.8)
     said = votes != 1
+    prior = trust * (n[:, None] * said).sum(axis=0) if false_alarms < 1 else np.zeros(labellers)
     for _ in range(steps):
         classes = np.stack([1 - good, good]) * n
         share = (classes.sum(axis=1) + 1) / (n.sum() + 2)
         table = np.stack([(classes[:, :, None] * (votes == v)).sum(axis=1) + 1.0 for v in (0, 2)], axis=-1)
+        table[1] += prior[:, None] * np.array([false_alarms, 1 - false_alarms])
         table /= table.sum(axis=-1, keepdims=True)
-        table[1, :, 0] = np.minimum(table[1, :, 0], false_alarms)
-        table[1, :, 1] = 1 - table[1, :, 0]
         told = np.log(table[:, np.arange(labellers)[None, :], votes // 2])
         like = np.log(share)[:, None] + (told * said).sum(axis=-1)
         after = 1 / (1 + np.exp(np.clip(like[0] - like[1], -700, 700)))
