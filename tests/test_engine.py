@@ -429,3 +429,21 @@ def test_stream_legs_equal_fold(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     got = sorted((r["symbol"], r["direction"], round(r["avg_entry_price"], 6), r["avg_exit_price"], r["total_qty"], round(r["total_fee"], 6)) for r in spark.table("legs").collect())
     assert got == fold(rows)
+
+
+def test_text_queries_answer_for_every_language(spark, tmp_path):
+    import re
+
+    from tracefoundry.plans.queries import QUERIES
+
+    texts = ["The end", "Über der Straße", "weder noch", "où sont LES élèves", "señor, ¿qué? Que sí", "éthe the", "日本 der", "Größe! https://x.org/é @jö", "größe", "RT größe", "", None, "grösse", "ça va", "Ça, va!"]
+    langs = ["en", "de", "de", "fr", "es", None, None, "de", "de", None, "en", "fr", "de", "fr", "fr"]
+    rows = list(zip(range(len(texts)), texts, langs))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    first = {i: re.search(r"(?i)\b(the|der|les|que)\b", t or "") for i, t, _ in rows}
+    got = {r["doc_id"]: r["word"] for r in QUERIES["regex_first_keyword_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: m and m[1].lower() for i, m in first.items()}
+    seen = {}
+    for i, t, _ in rows:
+        seen.setdefault(None if t is None else re.sub(r"[^\w]+", "", re.sub(r"https?://\S+|@\w+|\brt\b:?", " ", t.lower())), i)
+    assert sorted(r["doc_id"] for r in QUERIES["repost_removal_all"](spark, str(tmp_path)).collect()) == sorted(seen.values())

@@ -284,6 +284,12 @@ def regex_first_keyword(spark, sf_dir):
     return rows.select("doc_id", F.lower(T.first_word_of(F.col("text"), ("the", "der", "les", "que"))).alias("word"))
 
 
+@query()
+def regex_first_keyword_all(spark, sf_dir):
+    """Documents of every language and of none; DuckDB's classes differ there, so a test folds it in Python."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.lower(T.first_word_of(F.col("text"), ("the", "der", "les", "que"))).alias("word"))
+
+
 @query("SELECT doc_id, array_to_string(list_filter([CASE WHEN lang='en' THEN 'bullish-bias' END, CASE WHEN lang='de' THEN 'bearish-bias' END, CASE WHEN n_chars > 1000 THEN 'structured-setup' END, CASE WHEN length(source) > 100 THEN 'detailed-reasoning' END, CASE WHEN contains(lower(text),'liquidity') THEN 'liquidity-grab' END, CASE WHEN contains(lower(text),'funding') THEN 'funding-rate' END, CASE WHEN contains(lower(text),'breakout') THEN 'breakout' END, CASE WHEN contains(lower(text),'range') THEN 'range-trade' END], lambda x: x IS NOT NULL), ',') AS tags FROM documents")
 def tags_contains(spark, sf_dir):
     way = F.when(F.col("lang") == "en", F.lit("long")).when(F.col("lang") == "de", F.lit("short")).otherwise(F.lit(""))
@@ -437,6 +443,12 @@ def repost_removal(spark, sf_dir):
     return semantic.drop_reposts(rows, [F.col("doc_id")]).where("lang = 'en'").select("doc_id")
 
 
+@query()
+def repost_removal_all(spark, sf_dir):
+    """First posts of every language and of none; DuckDB's classes differ there, so a test folds it in Python."""
+    return semantic.drop_reposts(table(spark, sf_dir, "documents").select("doc_id", "text"), [F.col("doc_id")]).select("doc_id")
+
+
 @query(f"WITH {MARKED} SELECT coalesce(kind, 'all') AS kind, coalesce(lang, 'all') AS lang, count(*)::BIGINT AS n FROM marked GROUP BY ROLLUP (kind, lang)")
 def counts_rollup(spark, sf_dir):
     rows = marked(spark, sf_dir).rollup("kind", "lang").agg(F.count("*").alias("n"))
