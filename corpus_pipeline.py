@@ -15,11 +15,22 @@ from tracefoundry.llm.quality import classify
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _chosen(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among those kept; rows without one are kept too."""
-    ids = decisions.where("kept").select("doc_id").distinct()
-    none = docs.where("doc_id is null").select(COLUMNS)
-    return docs.select(COLUMNS).join(ids, "doc_id", "left_semi").select(COLUMNS).union(none)
+def _rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` as a table with ``row``, an id of each row, and what orders rows: ``points`` and ``mark``."""
+    points = F.char_length(F.coalesce("text", F.lit("")))
+    return cut(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"), points.alias("points"), F.xxhash64(*COLUMNS).alias("mark")), name)
+
+
+def _chosen(rows: DataFrame, decisions: DataFrame, group: str, longest: bool) -> DataFrame:
+    """One row of each group that ``decisions`` (doc_id, which is the row, and ``group``) names.
+
+    The longest if asked for, then the smallest doc_id, null last; rows equal
+    in these are told apart by their content, so the choice follows the rows.
+    """
+    first = F.struct(*([F.negative("points").alias("p")] if longest else []), F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "row")
+    named = decisions.select(F.col("doc_id").alias("row"), F.col(group).alias("group"))
+    best = rows.select("row", "doc_id", "points", "mark").join(named, "row").groupBy("group").agg(F.min(first).alias("first"))
+    return rows.join(best.select(F.col("first.row").alias("row")), "row", "left_semi").select(COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,19 +39,22 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The longest original of each group of equal texts."""
-    return _chosen(docs, exact_duplicates(docs))
+    """The longest original of each group of equal texts: one row, also of rows repeated whole or without a doc_id."""
+    rows = _rows(docs, "pipeline-exact")
+    return _chosen(rows, exact_duplicates(rows.select(F.col("row").alias("doc_id"), "text")), "keep_id", True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return _chosen(docs, near_duplicates(docs))
+    """One row of each group of near-duplicates; rows without a doc_id are in groups like others, and chosen last."""
+    rows = _rows(docs, "pipeline-near")
+    return _chosen(rows, near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")), "component_id", False)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    taken = mix(docs).where("taken > 0").groupBy("doc_id").agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("times"))
-    met = docs.select(COLUMNS).join(taken, "doc_id")
+    """Rows as often as the mix takes each of them, whether they have a doc_id or share it."""
+    rows = _rows(docs, "pipeline-mix")
+    taken = mix(rows, carry=["row"]).where("taken > 0").select("row", (F.col("taken") / F.col("size")).cast("int").alias("times"))
+    met = rows.join(taken, "row")
     return met.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "times"))).select(COLUMNS)
 
 

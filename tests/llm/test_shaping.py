@@ -287,3 +287,24 @@ def test_pipeline(spark):
     assert len(after) == len(set(after))
     last = p.STAGES[-1][1](spark, kept[-1], "").collect()
     assert {r["doc_id"] for r in last} == {r["doc_id"] for r in kept[-1].collect()}
+
+
+def test_pipeline_decides_by_row(spark):
+    """Rows repeated whole, null doc_ids and shared doc_ids: one row per group, each as often as the mix takes it."""
+    import corpus_pipeline as p
+
+    rng = random.Random(4)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    near = a.split()
+    near[-1] = "other"
+    texts = [(1, a), (1, a), (None, a), (2, " ".join(near)), (None, " ".join(near)), (None, b), (None, b), (3, b + "  "), (None, c), (4, prose(rng, 50)), (4, prose(rng, 55))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], schema).repartition(3)
+    once = p.exact_dedup(spark, docs, "").select("doc_id", "text").collect()
+    assert sorted(map(tuple, once), key=repr) == sorted({(1, a), texts[3], (3, b + "  "), (None, c), *texts[9:]}, key=repr)
+    one = p.near_dedup(spark, docs, "").select("doc_id", "text").collect()
+    # two rows with doc_id 1 are one group, and its first
+    assert sorted(map(tuple, one), key=repr) == sorted({(1, a), (3, b + "  "), (None, c), *texts[9:]}, key=repr)
+    shared = [(7 if i % 2 else None, prose(rng, 10), "en", "s", 1) for i in range(40)]
+    mixed = p.source_mix(spark, spark.createDataFrame(shared, schema), "").collect()
+    assert len(mixed) == 60 and {r["text"] for r in mixed} == {r[1] for r in shared}

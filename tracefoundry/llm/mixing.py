@@ -63,9 +63,10 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     return ranked.withColumn("target", F.least("most", F.coalesce(F.col("level") * F.col("w"), F.col("most")))).drop("at", "w", "most", "level")
 
 
-def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source, ...): doc_id, size, source_size, target, taken.
+def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS, carry: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, source, ...): doc_id, the ``carry`` columns, size, source_size, target, taken.
 
+    ``carry`` is nothing by default; the pipeline names its id of a row.
     ``quality`` is a column of positive sampling weights, by default
     :func:`letter_share`.  A document counts ``taken / size`` times in the
     mix.  The document on which the last epoch's running sum passes the
@@ -78,7 +79,8 @@ def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, share:
     An empty table gives an empty result.
     """
     rate = letter_share(F.col("text")) if quality is None else quality
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), (-F.log(unit(F.col("doc_id"))) / rate).alias("key"))
+    carry = carry or []
+    sized = docs.select("doc_id", *carry, "source", word_count(F.col("text")).alias("size"), (-F.log(unit(F.col("doc_id"))) / rate).alias("key"))
     sized = cut(sized, "op4-sized")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     goals = targets(sizes, weights, share, most)
@@ -96,4 +98,4 @@ def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, share:
     inside = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     more = (start + F.col("size") / 2 <= F.col("rest")).cast("long")
-    return placed.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + more)).cast("long").alias("taken"))
+    return placed.select("doc_id", *carry, "size", "source_size", "target", (F.col("size") * (F.col("epochs") + more)).cast("long").alias("taken"))
