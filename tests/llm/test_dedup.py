@@ -181,7 +181,7 @@ def test_embeddings_near_threshold_in_many_cells(spark, monkeypatch):
 
 
 def line_set(line):
-    raw = line.strip(" ").lower().encode()
+    raw = line.strip(" ").lower()
     return {raw[i : i + 8] for i in range(len(raw) - 7)} if len(raw) >= 8 else ({raw} if raw else set())
 
 

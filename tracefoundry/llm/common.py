@@ -6,6 +6,8 @@ import atexit
 import os
 import shutil
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,29 +47,50 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """``key`` is ``value`` inside, and afterwards what it was."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def cut(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
-    The lineage ends there, so a lost executor costs a re-read and no more.
+    The lineage ends there, so a lost executor costs a re-read and no more;
+    the shuffle files of the write go when it is done.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        writer = df.write.option("compression", "zstd")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
 
 
-def drop_cut(df: DataFrame) -> None:
-    """Remove a table of :func:`cut` that nothing will read again."""
-    path = getattr(df, "_cut_path", None)
-    if path:
-        spark = df.sparkSession
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def drop_cut(*tables: DataFrame) -> None:
+    """Remove tables of :func:`cut` that nothing will read again."""
+    for df in tables:
+        if path := getattr(df, "_cut_path", None):
+            _remove(df.sparkSession, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove every table of :func:`cut` of this application, once its results are written elsewhere."""
+    _remove(spark, shared_dir(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -84,19 +107,20 @@ def unit(key, salt: int = 0):
     return (F.shiftrightunsigned(F.xxhash64(F.lit(salt), key), 11).cast("double") + 0.5) / float(2**53)
 
 
-def narrowed(rows: DataFrame, ids: DataFrame, on: list[str], name: str) -> DataFrame:
-    """Rows of a large table whose ``on`` columns are among those of ``ids``, as a table.
+#: Spark builds a Bloom filter from a side only if that side has a predicate; this one holds for every doc_id.
+FILTERED = "doc_id >= -9223372036854775807L - 1L"
+
 
-    Spark builds a Bloom filter from ``ids`` while they are few, so other rows
-    end in the scan and are never shuffled; with too many ids it is a plain
-    semi-join.  The filter needs a predicate on the side it is built from.
+def bloom_filters(spark: SparkSession):
+    """Inside, joins of a large scan with few rows end the other rows in the scan, whatever the scan's size.
+
+    With more rows than Spark puts into a Bloom filter, joins are plain ones.
     """
-    spark = rows.sparkSession
-    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "0")
-    try:
+    return setting(spark, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+
+
+def narrowed(rows: DataFrame, ids: DataFrame, on: list[str], name: str) -> DataFrame:
+    """Rows of a large table whose ``on`` columns are among those of ``ids``, as a table, by a Bloom-filtered semi-join."""
+    with bloom_filters(rows.sparkSession):
         least = F.lit(-(2**63)).cast("long")
         return cut(rows.join(ids.where(F.col(on[0]) >= least), on, "left_semi"), name)
-    finally:
-        spark.conf.set(key, before)

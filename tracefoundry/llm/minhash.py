@@ -11,13 +11,12 @@ From candidates to links without all pairs of a bucket:
 
 1. each bucket is compared with one pivot, the member that shares most
    buckets with others; pairs are confirmed on full sets;
-2. members of buckets that are not yet connected are looked at again.  Two
-   sets that reach the threshold share one of their n - ceil(t * n) + 1 rarest
-   shingles, so only documents that share such a shingle with another
-   component stay; a passage that very many documents share is never among
-   their rarest shingles.  Those that stay meet in blocks, with all shingles
-   that any two of them share, and a block's intersections are one product of
-   incidence matrices.  A block returns at most one edge per document.
+2. members of buckets that are not yet connected are looked at again, in
+   blocks of bounded rows and bytes.  A block's intersections are one product
+   of incidence matrices; it returns at most one edge per document.  Of very
+   large sets that buckets connect, members without a shingle in common with
+   another component among their rarest ones are left out first
+   (:func:`_alive`).
 
 Pairs already connected need no test: only components are returned.
 """
@@ -29,50 +28,53 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import cut, narrowed, ship, width
+from .common import cut, drop_cut, narrowed, ship, width
 from .components import connected_components, hooks
 
 Shingler = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 class Scheme(NamedTuple):
-    """How sets are made and sketched: ``bands`` bands of ``rows`` coordinates of ``dtype``."""
+    """How sets are made and sketched: ``bands`` bands of ``rows`` coordinates."""
 
     name: str
     shingler: Shingler
     bands: int
     rows: int
-    dtype: np.dtype
 
     @property
     def coordinates(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def width(self) -> int:
-        return self.coordinates * self.dtype.itemsize
-
 
 def word_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tk.shingles(tk.words(data, offsets))
 
 
 #: A pair at similarity 0.75 misses all 32 bands of 4 once in 190,000 times.
-WORDS = Scheme("op7", word_shingles, 32, 4, np.dtype(np.uint32))
+WORDS = Scheme("op7", word_shingles, 32, 4)
 
 #: Members compared with a pivot in one task group.
 CELL = 200
-#: Documents of a cluster that meet in one group; members of larger clusters meet by bucket.
-CLUSTER = 20_000
-#: Shingles in a block.
-BLOCK = 300_000
+#: Documents of a block's side, and bytes of their texts.
+BLOCK_ROWS = 2048
+BLOCK_BYTES = 2 << 20
+#: Documents that buckets connect, up to which all blocks of them meet at once.
+DIRECT = 4 * BLOCK_ROWS
+#: Rows (bucket, document) sorted at a time where they arise, and rows of a range of buckets on average.
+CHUNK = 1 << 19
+MEET = 1 << 19
+#: Columns of an incidence matrix multiplied at a time.
+STRIP = 1024
+
 
 def sketch(packed: np.ndarray, docs: int, scheme: Scheme = WORDS) -> np.ndarray:
-    """(docs, coordinates) sketch of sets packed as in :func:`textkit.shingles`; of an empty set, a constant."""
+    """(docs, coordinates) sketch of sets packed as in :func:`textkit.shingles`, repeats allowed; of an empty set, a constant."""
     T = scheme.coordinates
     owner = (packed >> np.uint64(tk.FP_BITS)).astype(np.int64)
     element = packed & np.uint64((1 << tk.FP_BITS) - 1)
@@ -86,23 +88,32 @@ def sketch(packed: np.ndarray, docs: int, scheme: Scheme = WORDS) -> np.ndarray:
         np.minimum.at(best, owner * T + place, (np.uint64(r) << np.uint64(48)) | (h & np.uint64((1 << 48) - 1)))
         open_ = (best.reshape(docs, T) == empty).any(axis=1)[owner]
         owner, element = owner[open_], element[open_]
-    return (tk.mix(best) >> np.uint64(64 - 8 * scheme.dtype.itemsize)).astype(scheme.dtype).reshape(docs, T)
+    return tk.mix(best).reshape(docs, T)
+
+
+def banded(sig: np.ndarray, sizes: np.ndarray, scheme: Scheme = WORDS) -> pa.ListArray:
+    """A list per document of its buckets, one of each band; empty sets have none."""
+    own = sig[sizes > 0].reshape(-1, scheme.bands, scheme.rows)
+    total = np.zeros(own.shape[:2], dtype=np.uint64)
+    for j in range(scheme.rows):
+        total = total * np.uint64(0xC2B2AE3D27D4EB4F) + own[:, :, j]
+    bucket = tk.mix(total + np.arange(scheme.bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    offsets = np.concatenate([[0], np.cumsum((sizes > 0) * scheme.bands)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(bucket.view(np.int64).ravel()))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    width = WORDS.width
     for batch in batches:
-        ids = batch.column("doc_id")
+        ids, whole = batch.column("doc_id"), batch.column("whole")
         for row, data, offsets in tk.slices(batch.column("text")):
             docs = len(offsets) - 1
             packed, sizes = word_shingles(data, offsets)
             first = np.concatenate([[0], np.cumsum(sizes)])
             element = packed & np.uint64((1 << tk.FP_BITS) - 1)
             keys = [tk.per_doc(tk.mix(element + np.uint64(s)), first) for s in (11, 12)]
-            sig = sketch(packed, docs).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(row, docs), pa.array(sizes), *(pa.array(k.view(np.int64)) for k in keys), pa.array([sig[i * width : (i + 1) * width] if n else b"" for i, n in enumerate(sizes)], pa.binary())],
-                ["doc_id", "n_shingles", "k1", "k2", "sig"],
+                [ids.slice(row, docs), whole.slice(row, docs), pa.array(sizes), *(pa.array(k.view(np.int64)) for k in keys), banded(sketch(packed, docs), sizes)],
+                ["doc_id", "whole", "n_shingles", "k1", "k2", "buckets"],
             )
 
 
@@ -169,87 +180,223 @@ def _elements(shingler: Shingler):
     return run
 
 
-def _blocks(percent: int):
+def _shared(owner: np.ndarray, value: np.ndarray, left: np.ndarray, right: np.ndarray, rows: int) -> np.ndarray:
+    """How many values each left row has in common with each right row, by products of incidence matrices."""
+    _, place, times = np.unique(value, return_inverse=True, return_counts=True)
+    met = times[place] > 1
+    owner, place = owner[met], np.unique(place[met], return_inverse=True)[1]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    both = np.zeros((len(left), len(right)))
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, STRIP):
+        lo, hi = np.searchsorted(place, [at, at + STRIP])
+        part = np.zeros((rows, min(STRIP, int(place[-1]) + 1 - at)), dtype=np.float32)
+        part[owner[lo:hi], place[lo:hi] - at] = 1
+        both += part[left] @ part[right].T
+    return both
+
+
+def _blocks(shingler: Shingler, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in tk.runs(batches, "pair"):
-            n, comp, ids, side = (group.column(c).to_numpy() for c in ("n", "component", "doc_id", "side"))
-            lists = group.column("elements").combine_chunks()
-            owner = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
-            _, place, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
-            met = times[place] > 1
-            owner, place = owner[met], np.unique(place[met], return_inverse=True)[1]
+            comp, ids, side = (group.column(c).to_numpy() for c in ("component", "doc_id", "side"))
+            owners, elements, n = [], [], []
+            for row, data, offsets in tk.slices(group.column("text").combine_chunks()):
+                packed, sizes = shingler(data, offsets)
+                owners.append((packed >> np.uint64(tk.FP_BITS)).astype(np.int64) + row)
+                elements.append(packed & np.uint64((1 << tk.FP_BITS) - 1))
+                n.append(sizes)
             # side 0 meets side 1; a block that meets itself is side 2
             left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-            both = np.zeros((len(left), len(right)), dtype=np.float32)
-            order = np.argsort(place, kind="stable")
-            owner, place = owner[order], place[order]
-            for at in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
-                lo, hi = np.searchsorted(place, [at, at + 4096])
-                part = np.zeros((len(ids), 4096), dtype=np.float32)
-                part[owner[lo:hi], place[lo:hi] - at] = 1
-                both += part[left] @ part[right].T
+            n = np.concatenate(n)
+            both = _shared(np.concatenate(owners), np.concatenate(elements), left, right, len(ids))
             hit = (100 + percent) * both >= percent * (n[left][:, None] + n[right][None, :])
             hit &= comp[left][:, None] != comp[right][None, :]
+            if hit.any():
+                lists = group.column("buckets").combine_chunks()
+                owner = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+                hit &= _shared(owner, lists.flatten().to_numpy(), left, right, len(ids)) > 0
             low, high = hooks(hit, ids[left], ids[right])
             yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
     return run
 
 
-def buckets_of(unique: DataFrame, scheme: Scheme) -> DataFrame:
-    """(bucket, doc_id, size) of the sketches in ``unique`` (doc_id, n_shingles, sig), without buckets of one."""
-    step = scheme.width // scheme.bands
-    bucket = f"transform(sequence(0, {scheme.bands - 1}), i -> xxhash64(i, substring(sig, i * {step} + 1, {step})))"
-    banded = unique.select("doc_id", F.explode(F.expr(bucket)).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    return cut(banded.join(shared, "bucket"), f"{scheme.name}-bands")
+def _several(bucket: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct rows by bucket: those alone in theirs (two arrays), then the others, the size of their bucket and their place in it."""
+    order = np.argsort(bucket)
+    bucket, ids = bucket[order], ids[order]
+    same = bucket[1:] == bucket[:-1]
+    met = np.append(same, [False] * (len(bucket) > 0)) | np.append([False] * (len(bucket) > 0), same).astype(bool)
+    lone, lone_ids = bucket[~met], ids[~met]
+    bucket, ids = bucket[met], ids[met]
+    order = np.lexsort((ids, bucket))
+    bucket, ids = bucket[order], ids[order]
+    fresh = np.ones(len(bucket), dtype=bool)
+    fresh[1:] = (bucket[1:] != bucket[:-1]) | (ids[1:] != ids[:-1])
+    bucket, ids = bucket[fresh], ids[fresh]
+    head = np.ones(len(bucket), dtype=bool)
+    head[1:] = bucket[1:] != bucket[:-1]
+    head = np.flatnonzero(head)
+    size = np.diff(np.append(head, len(bucket)))
+    place = np.arange(len(bucket)) - np.repeat(head, size)
+    size = np.repeat(size, size)
+    one = size == 1
+    lone, lone_ids = np.append(lone, bucket[one]), np.append(lone_ids, ids[one])
+    return lone, lone_ids, bucket[~one], ids[~one], size[~one], place[~one]
+
+
+def _deal(parts: int):
+    """Deals rows (doc_id, buckets) to ranges of buckets, as arrays.
+
+    Of rows that share a bucket where they arise, two tell the range of it;
+    the others are in company anyway and go to it as they are, so a bucket that
+    very many rows share is no heavy range.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(p: int, bucket: np.ndarray, ids: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array([x.tobytes()], pa.binary()) for x in (bucket, ids, size.astype(np.int64))]
+            return pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *columns], ["p", "bucket", "ids", "size"])
+
+        def dealt(held: list[tuple[np.ndarray, np.ndarray]], turn: int) -> Iterator[pa.RecordBatch]:
+            lone, lone_ids, bucket, ids, size, at = _several(*(np.concatenate(x) for x in zip(*held)))
+            for b, i, n in ((lone, lone_ids, np.ones(len(lone))), (bucket[at < 2], ids[at < 2], size[at < 2])):
+                p = ((b >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(p, kind="stable")
+                p, b, i, n = p[order], b[order], i[order], n[order]
+                edges = [0, *(np.flatnonzero(p[1:] != p[:-1]) + 1).tolist(), len(p)] if len(p) else [0]
+                for lo, hi in zip(edges, edges[1:]):
+                    yield packed(int(p[lo]), b[lo:hi], i[lo:hi], n[lo:hi])
+            if (rest := at >= 2).any():
+                yield packed(-1 - turn % parts, bucket[rest], ids[rest], size[rest])
+
+        held, n, turn = [], 0, TaskContext.get().partitionId()
+        for batch in batches:
+            lists = batch.column("buckets")
+            ids = batch.column("doc_id").to_numpy()
+            held.append((lists.flatten().to_numpy().view(np.uint64), np.repeat(ids, np.diff(lists.offsets.to_numpy()))))
+            n += len(held[-1][0])
+            if n >= CHUNK:
+                yield from dealt(held, turn)
+                held, n, turn = [], 0, turn + 1
+        if n:
+            yield from dealt(held, turn)
+
+    return run
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, doc_id, size) of a range of buckets that share theirs with others."""
+
+    def read(column: pa.ChunkedArray) -> np.ndarray:
+        return np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for chunk in column.chunks for x in chunk])
+
+    for group in tk.runs(batches, "p"):
+        bucket, ids, size = (read(group.column(c)) for c in ("bucket", "ids", "size"))
+        if group.column("p")[0].as_py() >= 0:
+            *_, bucket, ids, size, _ = _several(bucket, ids)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids), pa.array(size)], ["bucket", "doc_id", "size"])
+
+
+def buckets_of(sketched: DataFrame, scheme: Scheme) -> DataFrame:
+    """(bucket, doc_id, size) of the sketches in ``sketched`` (doc_id, buckets), without buckets of one doc_id.
+
+    ``size`` says how many members of the bucket were seen together.  Rows of
+    a doc_id may come repeatedly, and then do here.  Rows travel as arrays, some
+    thousand to a row of Spark.
+    """
+    spark = sketched.sparkSession
+    parts = max(width(spark), sketched.count() * scheme.bands // MEET)
+    schema = "p long, bucket binary, ids binary, size binary"
+    dealt = sketched.select("doc_id", "buckets").mapInArrow(_deal(parts), schema)
+    dealt = dealt.repartition(width(spark), "p").sortWithinPartitions("p")
+    return cut(dealt.mapInArrow(_meet, "bucket long, doc_id long, size long"), f"{scheme.name}-bands")
+
+
+def _alive(members: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) -> DataFrame:
+    """Of ``members`` (doc_id, component), those that can have a partner in another component.
+
+    Two sets that reach the threshold share one of their n - ceil(t * n) + 1
+    rarest shingles, so only documents that share such a shingle with another
+    component stay; a passage that very many documents share is never among
+    their rarest shingles.
+    """
+    name = scheme.name
+    parts = cut(texts.join(members, "doc_id").mapInArrow(_elements(scheme.shingler), "doc_id long, component long, element long, n long"), f"{name}-elements")
+    seen = parts.groupBy("element").agg(F.count("*").alias("seen"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rarest = Window.partitionBy("doc_id").orderBy("seen", "element")
+    ranked = parts.join(seen, "element").withColumn("rare", F.row_number().over(rarest) <= F.expr(f"n - ceil({percent} * n / 100) + 1"))
+    out = cut(ranked.where("rare and lo < hi").select("doc_id").distinct(), f"{name}-alive")
+    drop_cut(parts)
+    return out
+
+
+def _meetings(unsettled: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) -> DataFrame:
+    """(group, doc_id, component, buckets) so that documents sharing a bucket of ``unsettled`` meet in a group.
+
+    Documents that buckets connect are one group up to DIRECT of them.  Larger
+    sets meet in the groups of their buckets, first without
+    those that cannot have a partner.  Blocks compare documents that share a
+    bucket and no others, so the grouping changes the cost and not the links.
+    """
+    name = scheme.name
+    hubs = unsettled.groupBy("bucket").agg(F.min("doc_id").alias("hub"))
+    edges = unsettled.join(hubs, "bucket").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    clusters = cut(connected_components(edges, f"{name}-clusters"), f"{name}-cluster")
+    sizes = clusters.groupBy("component").agg(F.count("*").alias("docs"))
+    named = clusters.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "docs")
+    open_ = cut(unsettled.join(named, "doc_id"), f"{name}-open")
+    drop_cut(clusters)
+    meet = open_.where(f"docs <= {DIRECT}").select(F.xxhash64(F.lit(0), "cluster").alias("group"), "doc_id", "component", "bucket")
+    large = open_.where(f"docs > {DIRECT}")
+    if not large.isEmpty():
+        alive = _alive(large.select("doc_id", "component").distinct(), texts, scheme, percent)
+        large = large.join(alive, "doc_id", "left_semi")
+        meet = meet.union(large.select(F.xxhash64(F.lit(1), "bucket").alias("group"), "doc_id", "component", "bucket"))
+    # a document has as many buckets as there are bands at most
+    return meet.groupBy("group", "doc_id", "component").agg(F.collect_list("bucket").alias("buckets"))
 
 
 def links_of(rows: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs in a bucket that reach ``percent``.
 
-    ``rows`` are those of :func:`buckets_of`; ``texts`` (doc_id, text) has each document once.
+    ``rows`` (bucket, doc_id, size) are those of :func:`buckets_of`, each
+    once; ``texts`` (doc_id, text) has each document once.
     """
     spark, name = rows.sparkSession, scheme.name
     degree = rows.groupBy("doc_id").agg(F.sum("size").alias("degree"))
     ranked = rows.join(degree, "doc_id").select("bucket", F.struct("degree", F.negative("doc_id").alias("id")).alias("rank"))
-    pivots = ranked.groupBy("bucket").agg(F.max("rank").alias("top")).select("bucket", F.negative(F.col("top.id")).alias("pivot"))
-    stars = rows.join(pivots, "bucket").where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = cut(stars, f"{name}-stars")
+    pivots = ranked.groupBy("bucket").agg(F.max("rank").alias("top"), F.count("*").alias("members")).select("bucket", "members", F.negative(F.col("top.id")).alias("pivot"))
+    pivots = cut(pivots, f"{name}-pivots")
+    met = rows.join(pivots, "bucket").where("doc_id <> pivot")
+    stars = cut(met.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), f"{name}-stars")
     links = cut(confirmed(stars, texts, scheme.shingler, percent), f"{name}-links")
+    drop_cut(stars)
 
+    # pairs with the pivot are settled; what is left to compare are the others of a bucket, if components differ
     labels = cut(connected_components(links, f"{name}-round1"), f"{name}-labels")
-    tagged = rows.join(labels, F.col("doc_id") == F.col("node"), "left").select("bucket", "size", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = tagged.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("size").alias("rows"))
-    # pairs with the pivot are settled, so two members leave nothing to compare
-    mixed = mixed.where("lo < hi and rows > 2").select("bucket")
-    tagged = cut(tagged.join(mixed, "bucket", "left_semi").select("bucket", "doc_id", "component"), f"{name}-unsettled")
-    unsettled = tagged.groupBy("doc_id").agg(F.first("component").alias("component"))
-    parts = cut(texts.join(unsettled, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_elements(scheme.shingler), "doc_id long, component long, element long, n long"), f"{name}-elements")
-    seen = parts.groupBy("element").agg(F.count("*").alias("seen"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    rarest = Window.partitionBy("doc_id").orderBy("seen", "element")
-    shared = parts.join(seen, "element").withColumn("rare", F.row_number().over(rarest) <= F.expr(f"n - ceil({percent} * n / 100) + 1"))
-    shared = shared.where("seen > 1").groupBy("doc_id", "component", "n").agg(F.max(F.expr("rare and lo < hi")).alias("alive"), F.collect_list("element").alias("elements"))
-    alive = cut(shared.where("alive").drop("alive"), f"{name}-alive")
-
-    open_ = tagged.join(alive.select("doc_id"), "doc_id", "left_semi")
-    hubs = open_.groupBy("bucket").agg(F.min("doc_id").alias("hub"))
-    edges = open_.join(hubs, "bucket").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    clusters = cut(connected_components(edges, f"{name}-clusters"), f"{name}-cluster")
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("docs"))
-    clusters = clusters.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "docs")
-    group = F.when(F.col("docs") <= CLUSTER, F.xxhash64(F.lit(0), "cluster")).otherwise(F.xxhash64(F.lit(1), "bucket"))
-    members = open_.join(clusters, "doc_id").select("doc_id", group.alias("group")).distinct().join(alive, "doc_id")
-    members = cut(members, f"{name}-members")
-    load = members.groupBy("group").agg(F.ceil(F.sum(F.size("elements")) / BLOCK).cast("int").alias("blocks"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    tagged = met.where("members > 2").join(labels, F.col("doc_id") == F.col("node"), "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    tagged = cut(tagged, f"{name}-tagged")
+    mixed = tagged.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    unsettled = cut(tagged.join(mixed.select("bucket"), "bucket"), f"{name}-unsettled")
+    drop_cut(pivots, labels, tagged)
+
+    members = cut(_meetings(unsettled, texts, scheme, percent).join(texts, "doc_id"), f"{name}-members")
+    load = members.groupBy("group").agg(
+        F.greatest(F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int").alias("blocks"),
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+    )
     dealt = members.join(load.where("lo < hi").select("group", "blocks"), "group").withColumn("own", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
     spread = dealt.select("*", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).select(
-        "doc_id", "component", "n", "elements",
+        "doc_id", "component", "buckets", "text",
         F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
     placed = spread.repartition(width(spark), "pair").sortWithinPartitions("pair", "doc_id")
-    return links.union(cut(placed.mapInArrow(_blocks(percent), "a long, b long"), f"{name}-more"))
+    more = cut(placed.mapInArrow(_blocks(scheme.shingler, percent), "a long, b long"), f"{name}-more")
+    drop_cut(unsettled, members)
+    return links.union(more)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -257,26 +404,30 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Null, empty and blank texts have no shingles and link with nothing; texts
     of one to four words have one shingle, the whole sequence.  Repeated
-    doc_ids count as one document if their texts are equal and are answered
-    once per row; rows with a null doc_id come back unlinked and kept.  Other columns
-    are ignored whatever their names.  An empty table gives an empty result.
+    doc_ids are one document, answered once per row; if their texts differ, the
+    one with the greatest hash is compared.  Rows with a null doc_id come back
+    unlinked and kept.  Other columns are ignored whatever their names.  An
+    empty table gives an empty result.
     """
     spark = docs.sparkSession
     ship(spark)
-    texts = docs.select("doc_id", "text")
-    made = cut(texts.mapInArrow(_sketches, "doc_id long, n_shingles long, k1 long, k2 long, sig binary"), "op7-sketch")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("whole", F.xxhash64("text"))
+    made = cut(texts.mapInArrow(_sketches, "doc_id long, whole long, n_shingles long, k1 long, k2 long, buckets array<long>"), "op7-sketch")
     held = made.where("n_shingles > 0 and doc_id is not null")
-    classes = held.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    reps = classes.select("rep").distinct()
-    unique = cut(held.join(reps, held.doc_id == reps.rep, "left_semi").select("doc_id", "n_shingles", "sig").dropDuplicates(["doc_id"]), "op7-unique")
+    classes = cut(held.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "op7-classes")
+    unique = cut(held.join(classes.select("rep").distinct(), held.doc_id == F.col("rep"), "left_semi").groupBy("doc_id").agg(F.max_by("buckets", "whole").alias("buckets")), "op7-unique")
     rows = buckets_of(unique, WORDS)
     asked = cut(rows.select("doc_id").distinct(), "op7-asked")
-    texts = narrowed(texts, asked, ["doc_id"], "op7-texts")
-    links = links_of(rows, texts, WORDS, percent)
-
+    drop_cut(unique)
+    texts = narrowed(texts, asked, ["doc_id"], "op7-near")
+    once = cut(texts.groupBy("doc_id").agg(F.max_by("text", "whole").alias("text")), "op7-texts")
+    drop_cut(texts, asked)
+    links = links_of(rows, once, WORDS, percent)
     joined = cut(connected_components(links, "op7-all"), "op7-joined")
-    named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    named = named.withColumnRenamed("n_shingles", "n")
+    drop_cut(rows, once)
+
+    named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("component_id"))
+    made = made.drop("buckets", "whole")
     found = made.join(named, (made.k1 == named.k1) & (made.k2 == named.k2) & (made.n_shingles == named.n) & made.doc_id.isNotNull(), "left")
     component = F.coalesce("component_id", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

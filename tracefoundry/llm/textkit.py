@@ -69,6 +69,19 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.
         row = end
 
 
+def running(data: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Running sum of byte codes times powers, from which :func:`spans` reads hashes."""
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((_CODES_LOWER if lower else _CODES)[data] * powers(_BASE, len(data)), out=total[1:])
+    return total
+
+
+def spans(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte ranges [start, end): equal for equal bytes, wherever they are."""
+    hashes = (total[end] - total[start]) * powers(_INVERSE, len(total))[start]
+    return mix(hashes + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+
+
 class Words(NamedTuple):
     """Words of a slice: byte range, hash, and per document the range of its words."""
 
@@ -89,11 +102,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
     head[cuts] = solid[cuts]
     tail[cuts - 1] = solid[cuts - 1]
     start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((_CODES_LOWER if lower else _CODES)[data] * powers(_BASE, n), out=total[1:])
-    hashes = (total[end] - total[start]) * powers(_INVERSE, n)[start]
-    hashes = mix(hashes + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-    return Words(start, end, hashes, np.searchsorted(start, offsets))
+    return Words(start, end, spans(running(data, lower), start, end), np.searchsorted(start, offsets))
 
 
 def shingles(w: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
