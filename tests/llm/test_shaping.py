@@ -233,31 +233,58 @@ def test_classifier_learns_without_labels(spark):
     assert quality.classify(df.limit(0)).count() == 0
 
 
-def test_em_recovers_accuracies():
+def votes_of(truth, on_bad, on_good, rng, silent=0.2):
+    """Votes that call bad documents bad and good ones good with the given accuracies."""
+    right = rng.random((len(truth), len(on_bad))) < np.where(truth[:, None], on_good, on_bad)
+    votes = np.where(right == truth[:, None], 1, -1)
+    return np.where(rng.random(votes.shape) < silent, 0, votes)
+
+
+@pytest.mark.parametrize("alarms", [0.05, 0.1, 0.2])
+def test_em_recovers_accuracies(alarms):
+    """Production setting: labellers that misfire on 5 to 20 % of good documents."""
     rng = np.random.default_rng(8)
-    truth = rng.random(20_000) < 0.8
-    right = np.array([0.95, 0.9, 0.85, 0.8, 0.7, 0.9, 0.6, 0.75])
-    votes = np.where(rng.random((20_000, 8)) < right, truth[:, None] * 2 - 1, 1 - truth[:, None] * 2)
-    votes = np.where(rng.random((20_000, 8)) < 0.2, 0, votes)
-    pattern = quality._pattern(votes)
+    truth = rng.random(40_000) < 0.8
+    k = len(quality.LABELLERS)
+    on_bad, on_good = np.linspace(0.6, 0.95, k), 1 - alarms * np.linspace(0.8, 1.2, k)
+    pattern = quality._pattern(votes_of(truth, on_bad, on_good, rng))
     p, n = np.unique(pattern, return_counts=True)
-    good = quality.estimate(dict(zip(p.tolist(), n.tolist())), false_alarms=1.0)
-    assert np.mean((np.array([good[x] for x in pattern.tolist()]) > 0.5) == truth) > 0.97
-    assert abs(sum(good[a] * b for a, b in zip(p.tolist(), n.tolist())) / n.sum() - truth.mean()) < 0.02
-
-
-def test_em_finds_out_a_labeller_that_misfires():
-    """Production setting: one labeller calls 5 % of good documents bad, junk is mostly seen by one or two."""
-    rng = np.random.default_rng(9)
-    truth = rng.random(20_000) < 0.86
-    sees = np.array([0.69, 0.22, 0.25, 0.23, 0.24, 0.01, 0.33, 0.45])
-    alarms = np.array([0.0002] * 4 + [0.05] + [0.0002] * 3)
-    votes = np.where(rng.random((20_000, 8)) < np.where(truth[:, None], alarms, sees), -1, 1)
+    got = quality.estimate(dict(zip(p.tolist(), n.tolist())))
+    assert np.mean((np.array([got.posterior[x] for x in pattern.tolist()]) > 0.5) == truth) > 0.97
+    assert abs(got.share - truth.mean()) < 0.02
+    assert np.abs(got.accuracy - np.stack([on_bad, on_good])).max() < 0.03
+
+
+def test_em_meets_brute_force_likelihood():
+    """Three labellers: no point of a fine search around the estimate has a higher likelihood."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(5_000) < 0.7
+    votes = votes_of(truth, np.array([0.9, 0.8, 0.7]), np.array([0.85, 0.9, 0.95]), rng, silent=0.0)
     pattern = quality._pattern(votes)
     p, n = np.unique(pattern, return_counts=True)
-    good = quality.estimate(dict(zip(p.tolist(), n.tolist())))
-    kept = np.array([good[x] for x in pattern.tolist()]) > 0.5
-    assert kept[truth].mean() > 0.99 and kept[~truth].mean() < 0.15
+    got = quality.estimate(dict(zip(p.tolist(), n.tolist())), labellers=3, steps=5_000)
+    seen = (p[:, None] // 3 ** np.arange(3) % 3) == 2
+
+    def likelihood(x):
+        share, bad, good = x[0], x[1:4], x[4:7]
+        return float((n * np.log(share * np.where(seen, good, 1 - good).prod(axis=1) + (1 - share) * np.where(seen, 1 - bad, bad).prod(axis=1))).sum())
+
+    at = np.concatenate([[got.share], *got.accuracy])
+    best = likelihood(at)
+    near = [likelihood(np.clip(at + rng.normal(size=7) * s, 0.01, 0.99)) for s in (0.3, 0.1, 0.03, 0.01) for _ in range(2_000)]
+    assert max(near) <= best + 0.5
+
+
+def test_variety_does_not_follow_length():
+    """A text's measures are those of its windows: ten times the text is no less varied."""
+    rng = random.Random(2)
+    one = prose(rng, 3_000)
+    ten = " ".join(prose(rng, 3_000) for _ in range(10))
+    data = (one + ten).encode()
+    m = quality.Measures(np.frombuffer(data, np.uint8), np.array([0, len(one), len(data)]))
+    assert abs(m.variety[0] - m.variety[1]) < 0.02 and abs(m.bigrams[0] - m.bigrams[1]) < 0.02
+    w = one.split()
+    assert m.variety[0] == pytest.approx(sum(len(set(w[i : i + 200])) for i in range(0, 3_000, 200)) / 3_000)
 
 
 def test_held_out_labels(spark):

@@ -119,32 +119,38 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(shingler: Shingler, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, pivot, pivot_id = None, np.zeros(0, np.uint64), None
+        # the set of the last hub, for members that a later slice has
+        hub, hub_id, hub_cell = np.zeros(0, np.uint64), 0, None
+        low = np.uint64((1 << tk.FP_BITS) - 1)
         for batch in batches:
-            cell = batch.column("cell").to_numpy(zero_copy_only=False)
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            member = batch.column("member").to_numpy(zero_copy_only=False)
+            cells, all_ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "id"))
+            members = batch.column("member").to_numpy(zero_copy_only=False)
             a, b = [], []
             for row, data, offsets in tk.slices(batch.column("text")):
                 packed, sizes = shingler(data, offsets)
-                first = np.concatenate([[0], np.cumsum(sizes)])
-                element = packed & np.uint64((1 << tk.FP_BITS) - 1)
-                for i in range(len(sizes)):
-                    at, own = row + i, element[first[i] : first[i + 1]]
-                    if not member[at]:
-                        hub, pivot, pivot_id = cell[at], own, ids[at]
-                        continue
-                    if cell[at] != hub or not len(own) or not len(pivot):
-                        continue
-                    small, large = (own, pivot) if len(own) < len(pivot) else (pivot, own)
-                    if 100 * len(small) < percent * len(large):
-                        continue
-                    where = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                    both = int((large[where] == small).sum())
-                    if 100 * both >= percent * (len(small) + len(large) - both):
-                        a.append(pivot_id)
-                        b.append(ids[at])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                rows = slice(row, row + len(sizes))
+                cell, ids, member = cells[rows], all_ids[rows], members[rows]
+                owner = (packed >> np.uint64(tk.FP_BITS)).astype(np.int64)
+                of = np.maximum.accumulate(np.where(member, -1, np.arange(len(sizes))))
+                # where each shingle would be in the sorted set of its document's hub
+                here = of[owner] >= 0
+                wanted = np.where(here, (np.maximum(of, 0)[owner].astype(np.uint64) << np.uint64(tk.FP_BITS)) | (packed & low), packed & low)
+                found = np.zeros(len(packed), dtype=bool)
+                for some, among in ((here, packed), (~here, hub)):
+                    if some.any() and len(among):
+                        keys = wanted[some]
+                        found[some] = among[np.minimum(np.searchsorted(among, keys), len(among) - 1)] == keys
+                both = np.bincount(owner, weights=found, minlength=len(sizes))
+                n = np.where(of >= 0, sizes[np.maximum(of, 0)], len(hub))
+                same = np.where(of >= 0, cell[np.maximum(of, 0)] == cell, cell == hub_cell)
+                hit = member & same & (sizes > 0) & (n > 0) & (100 * both >= percent * (sizes + n - both))
+                a.append(np.where(of >= 0, ids[np.maximum(of, 0)], hub_id)[hit])
+                b.append(ids[hit])
+                if of[-1] >= 0:
+                    hub = packed[owner == of[-1]] & low
+                    hub_id, hub_cell = ids[of[-1]], cell[of[-1]]
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (a, b)], ["a", "b"])
 
     return run
 

@@ -12,6 +12,7 @@ every document.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,17 +23,15 @@ from pyspark.sql import types as T
 from . import textkit as tk
 from .common import ship, unit
 
-LABELLERS = ("symbols", "capitals", "bare_words", "variety", "runs", "word_length", "sentences", "bigrams")
+LABELLERS = ("symbols", "capitals", "bare_words", "variety", "runs", "word_length", "sentences", "bigrams", "rare_marks", "mark_runs")
 #: Documents that the scorer is fitted on, at most about this many.
 SAMPLE = 8192
 DIM = 4096
 #: Bytes of text measured at a time; the arrays of a slice take some 60 times as much.
 SLICE = 1 << 20
 STEPS = 250
-#: How often a labeller is expected to call a good document bad: labellers are built to be precise, not complete.
-FALSE_ALARMS = 0.001
-#: Weight of that expectation against a labeller's votes on good documents; the corpus shifts the share by a quarter.
-TRUST = 3.0
+#: Words of a window in which distinct words and pairs are counted, so that a text's length alone says nothing.
+WINDOW = 200
 
 _CLASS = np.full(256, 1, dtype=np.int64)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -41,6 +40,10 @@ _CLASS[48:58] = 3
 _CLASS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 4 + np.arange(32)
 _CLASS[0:9] = _CLASS[14:32] = _CLASS[127] = 36
 _KINDS = 37
+_RARE = np.zeros(256, dtype=bool)
+_RARE[list(b"#$%&*+/<=>@[\\]^_`{|}~")] = True
+_ALONE = np.zeros(256, dtype=bool)
+_ALONE[list(b"!\"#$%&'()*+,/:;<=>?@[\\]^_`{|}~")] = True
 
 
 class Measures:
@@ -66,22 +69,38 @@ class Measures:
         lettered = np.concatenate([[0], np.cumsum((kinds >= 1) & (kinds <= 3))])
         self.bare = over_words(lettered[w.end] == lettered[w.start]) / n
         owner = np.repeat(np.arange(docs), self.words)
-        pairs, distinct = tk.shingles(w, 1)
-        self.variety = distinct / n
+        place = np.arange(len(w.hash)) - w.first[:-1][owner]
+        fresh = np.append(True, (owner[1:] != owner[:-1]) | (place[1:] % WINDOW == 0))[: len(owner)]
+        window = np.cumsum(fresh) - 1
+        home = owner[fresh]
+
+        def distinct(hashes: np.ndarray, windows: np.ndarray) -> np.ndarray:
+            """Distinct hashes of each window, added up by document."""
+            own = (windows.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24))
+            own.sort()
+            own = own[np.append(True, own[1:] != own[:-1])[: len(own)]]
+            return np.bincount(home[(own >> np.uint64(40)).astype(np.int64)], minlength=docs)
+
+        self.variety = distinct(w.hash, window) / n
         follows = np.zeros(len(w.hash), dtype=bool)
         follows[1:] = (w.hash[1:] == w.hash[:-1]) & (owner[1:] == owner[:-1])
         self.runs = over_words(follows) / n
         self.length = over_bytes((kinds != 0) & (data & 0xC0 != 0x80)) / n
         last = data[w.end - 1] if len(w.end) else data[:0]
         self.sentences = over_words((last == 46) | (last == 63) | (last == 33)) / n
-        _, bigrams = tk.shingles(w, 2)
-        self.bigrams = bigrams / np.maximum(self.words - 1, 1)
+        inside = np.flatnonzero(window[1:] == window[:-1])
+        pairs = np.bincount(owner[inside], minlength=docs)
+        self.bigrams = distinct(tk.mix(w.hash[inside] * np.uint64(3) + w.hash[inside + 1]), window[inside]) / np.maximum(pairs, 1)
+        self.rare_marks = over_bytes(_RARE[data]) / solid
+        twice = np.zeros(len(data) + 1, dtype=np.int64)
+        twice[2:] = np.cumsum(_ALONE[data[1:]] & (data[1:] == data[:-1])) if len(data) > 1 else 0
+        self.mark_runs = over_words(twice[w.end] > twice[np.minimum(w.start + 1, w.end)]) / n
 
         # hashed features: trigrams of byte classes, and binned measures
         c = np.concatenate([kinds, [0, 0]])
         self.places = tk.mix((c[:-2] * _KINDS * _KINDS + c[1:-1] * _KINDS + c[2:]).astype(np.uint64)).astype(np.int64) & (DIM - 1)
         self.offsets, self.bytes = offsets, np.maximum(np.diff(offsets), 1)
-        measures = (self.symbols, self.capitals, self.bare, self.variety, self.runs, self.length / 20, self.sentences, self.bigrams)
+        measures = (self.symbols, self.capitals, self.bare, self.variety, self.runs, self.length / 20, self.sentences, self.bigrams, self.rare_marks, self.mark_runs)
         binned = np.minimum((np.stack(measures) * 20).astype(np.int64), 40)
         code = (binned + 64 * np.arange(len(binned))[:, None] + (1 << 20)).astype(np.uint64)
         self.bins = tk.mix(code).astype(np.int64) & (DIM - 1)
@@ -97,11 +116,13 @@ class Measures:
             vote(self.symbols > 0.12, self.symbols < 0.07),
             vote(self.capitals > 0.5, self.capitals < 0.2),
             vote(self.bare > 0.15, self.bare < 0.05),
-            vote(self.variety < 0.15, self.variety > 0.35, many),
+            vote(self.variety < 0.25, self.variety > 0.4, many),
             vote(self.runs > 0.25, self.runs < 0.10),
             vote((self.length < 2.5) | (self.length > 14), (self.length > 3.5) & (self.length < 9)),
             vote((self.sentences < 0.01) | (self.sentences > 0.5), (self.sentences > 0.02) & (self.sentences < 0.35), many),
-            vote(self.bigrams < 0.35, self.bigrams > 0.7, many),
+            vote(self.bigrams < 0.4, self.bigrams > 0.7, many),
+            vote(self.rare_marks > 0.02, self.rare_marks < 0.01),
+            vote(self.mark_runs > 0.15, self.mark_runs < 0.05),
         ], axis=1).astype(np.int64)
 
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
@@ -150,40 +171,43 @@ def _scored(posterior: dict[int, float], weights: np.ndarray, bias: float, thres
     return run
 
 
-def estimate(counts: dict[int, int], labellers: int = len(LABELLERS), steps: int = 200, false_alarms: float = FALSE_ALARMS, trust: float = TRUST) -> dict[int, float]:
-    """Probability of good for each vote pattern, by expectation-maximisation.
+class Estimate(NamedTuple):
+    """What EM learns: the share of good documents, each labeller's accuracy on bad and good ones, the posterior of each pattern."""
+
+    share: float
+    accuracy: np.ndarray
+    posterior: dict[int, float]
+
+
+def estimate(counts: dict[int, int], labellers: int = len(LABELLERS), steps: int = 500) -> Estimate:
+    """Expectation-maximisation over the counts of vote patterns.
 
     Labellers are taken as independent given the class, and a labeller that
     does not vote says nothing.  The start takes a bad vote as strong
     evidence, since a labeller has one kind of bad text in view and finds
     others good; the steps then learn from agreement how far each is right.
-    The share of bad votes on good documents has a Beta prior of mean
-    ``false_alarms`` (1 for no prior) that weighs ``trust`` times the votes of
-    a labeller, without which a kind of bad text that one labeller alone sees
-    would pass as that labeller's error.  It has no ceiling: a labeller that
-    misfires often, and more than its bad texts explain, is found out.  Votes
-    alone cannot tell rarer misfires from such a kind of bad text, and where
-    all labellers err often the prior is wrong.
+    One vote more of each kind is all the prior there is, so a labeller that
+    misfires is found out by the others; what one labeller alone calls bad
+    passes as its error, which is why labellers overlap.
     """
     patterns = np.array(sorted(counts), dtype=np.int64)
     n = np.array([counts[int(p)] for p in patterns], dtype=float)
     votes = patterns[:, None] // 3 ** np.arange(labellers) % 3
     good = np.where((votes != 1).any(axis=1), 0.97 * 0.2 ** (votes == 0).sum(axis=1), 0.8)
     said = votes != 1
-    prior = trust * (n[:, None] * said).sum(axis=0) if false_alarms < 1 else np.zeros(labellers)
     for _ in range(steps):
         classes = np.stack([1 - good, good]) * n
         share = (classes.sum(axis=1) + 1) / (n.sum() + 2)
         table = np.stack([(classes[:, :, None] * (votes == v)).sum(axis=1) + 1.0 for v in (0, 2)], axis=-1)
-        table[1] += prior[:, None] * np.array([false_alarms, 1 - false_alarms])
         table /= table.sum(axis=-1, keepdims=True)
         told = np.log(table[:, np.arange(labellers)[None, :], votes // 2])
         like = np.log(share)[:, None] + (told * said).sum(axis=-1)
         after = 1 / (1 + np.exp(np.clip(like[0] - like[1], -700, 700)))
-        if np.abs(after - good).max() < 1e-9:
+        moved, good = np.abs(after - good).max(), after
+        if moved < 1e-9:
             break
-        good = after
-    return dict(zip(patterns.tolist(), good.tolist()))
+    accuracy = np.stack([table[0, :, 0], table[1, :, 1]])
+    return Estimate(float(share[1]), accuracy, dict(zip(patterns.tolist(), good.tolist())))
 
 
 def fit(rows: list, posterior: dict[int, float], steps: int = STEPS) -> tuple[np.ndarray, float]:
@@ -213,17 +237,19 @@ def classify(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE, carr
     the scorer's.  Null, empty and blank texts have score 0 and are not kept.
     Texts of one to four words get no votes, so their weak label is the
     estimated share of good documents; the scorer judges them like others.
-    Repeated rows are judged alike.  An empty table gives an empty result.
+    Repeated rows are judged alike, and are in the sample together or not at
+    all; so are rows with a null doc_id of one text.  An empty table gives an
+    empty result.
     """
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select("doc_id", "text")
     counts = texts.mapInArrow(_votes, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     counts = {r["pattern"]: r["n"] for r in counts.collect()}
-    posterior = estimate(counts) if counts else {}
+    posterior = estimate(counts).posterior if counts else {}
     share = sample / max(sum(counts.values()), 1)
     # about ``sample`` rows, whatever the corpus
-    chosen = texts.where(unit(F.col("doc_id"), 77) < share).where(F.char_length(F.trim("text")) > 0)
+    chosen = texts.where(unit(F.xxhash64("doc_id", "text"), 77) < share).where(F.char_length(F.trim("text")) > 0)
     rows = chosen.mapInArrow(_rows, "pattern long, at array<long>, value array<double>").limit(2 * sample).collect()
     weights, bias = fit(rows, posterior)
     names = carry or ["doc_id"]
