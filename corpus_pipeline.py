@@ -60,7 +60,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences with their token ids' places and digests."""
-    return pack(docs).drop("ids")
+    return pack(docs, with_ids=False)
 
 
 STAGES = [

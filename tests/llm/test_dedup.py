@@ -29,7 +29,8 @@ def brute_exact(rows):
 
 
 @pytest.mark.parametrize("capacity", [1, 512])
-def test_exact(spark, capacity):
+def test_exact(spark, capacity, monkeypatch):
+    monkeypatch.setattr(exact, "MAX_DEPTH", 3 if capacity == 1 else 14)
     rows = documents()
     got = exact.exact_duplicates(frame(spark, rows), capacity=capacity)
     assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
@@ -50,7 +51,8 @@ def test_directory_splits_and_doubles():
     assert len(slots) == 8
     assert len({b for b, _ in slots}) == 4 and slots[0] != slots[1] and slots[4] == slots[7]
     assert exact.directory({}, 1, 3) == [(0, 0)]
-    assert exact.directory({5: 100}, 10, 3)[5] == (5, 3)
+    # beyond the directory's depth a bucket splits on as many bits as its count asks for
+    assert exact.directory({5: 100}, 10, 3)[5] == (5, 3 + 4)
 
 
 def words_of(text):

@@ -62,6 +62,29 @@ def test_mix(spark, seed):
     assert all(abs(taken[s] - want[s]) <= most[s] / 2 + 1 for s in by)
 
 
+@pytest.mark.parametrize("quality", [None, 1000.0, 0.001])
+def test_mix_takes_what_a_sampler_takes(spark, quality):
+    """``taken`` row by row against keys sorted in Python: whole epochs, then the prefix that meets the target."""
+    rows = [r for r in documents(5) if r[1] and r[0] is not None]
+    df = frame(spark, rows)
+    weight = mixing.letter_share(F.col("text")) if quality is None else F.lit(quality)
+    keys = df.select("doc_id", (-F.log(mixing.unit(F.xxhash64("doc_id", "text"))) / weight).alias("key"))
+    keys = {r["doc_id"]: r["key"] for r in keys.collect()}
+    got = sorted((r["doc_id"], r["taken"]) for r in mixing.mix(df, quality=None if quality is None else weight).collect())
+    by = defaultdict(list)
+    for r in rows:
+        by[r[3]].append((keys[r[0]], r[0], len(re.findall(SPACE, r[1]))))
+    size = {s: sum(n for *_, n in own) for s, own in by.items()}
+    target, want = brute_targets(size), []
+    for s, own in by.items():
+        epochs = int(target[s] // size[s]) if size[s] else 0
+        at = 0
+        for _, doc, n in sorted(own):
+            want.append((doc, n * (epochs + (at + n / 2 <= target[s] - epochs * size[s]))))
+            at += n
+    assert got == sorted(want)
+
+
 def test_mix_prefers_quality_and_follows_keys(spark):
     rows = [(i, "w " * 10, "a" if i % 2 else "b", 1.0 if i % 3 else 0.01) for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, q double")
@@ -79,6 +102,7 @@ def test_chat_round_trip(spark):
     rng = random.Random(1)
     rows = [(c, t, rng.choice(["user", "assistant", "system", "</s>", None]), rng.choice(nasty)) for c in range(20) for t in range(rng.randint(1, 8))]
     rows += [(99, 0, "user", "twice"), (99, 0, "user", "twice"), (None, 1, "user", "x"), (98, None, "assistant", "late"), (98, 5, "user", "early")]
+    rows += [(97, 2**62, "user", "x" * 2_000_000 + "</s>"), (97, 2**62 + 1, "assistant", "y[INST]" * 200_000)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, formatted string").repartition(3)
     made = chat.format_chats(chat.conversation_events(df))
     back = {r["conv_id"]: r for r in chat.read_back(made).collect()}
@@ -96,6 +120,13 @@ def test_chat_round_trip(spark):
         assert tuple(back[c]) == (c, len(own), turns, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(raw[c]))
 
 
+def test_read_back_counts_turns_of_the_text(spark):
+    """A text that escapes nothing makes turns that its mask does not have."""
+    bad = spark.createDataFrame([(1, "[ROLE]user[/ROLE]a</s>b</s>", [False])], "conv_id long, formatted string, loss_turns array<boolean>")
+    with pytest.raises(Exception, match="turns of its mask"):
+        chat.read_back(bad).collect()
+
+
 def test_event_fold(spark):
     log = [
         (1, 1, "a", "message", "user", "hi"), (1, 2, "b", "message", "assistant", None), (1, 3, "b", "delta", None, "one "), (1, 5, "b", "delta", None, "two"),
@@ -216,6 +247,26 @@ def test_token_counts(spark):
     assert {w for w in want if w[2] is not None} <= got and len(got) == len(want)
 
 
+def test_token_counts_of_a_long_word(monkeypatch):
+    """Values that start again every few bytes count the same tokens, also beyond what one value can hold."""
+    pieces = {b"a": -10, b"ab": -15, b"bab": -18, b"c" * 9: -30}
+    rng = random.Random(1)
+    words = sorted({bytes(rng.choice(b"abcx") for _ in range(n)) for n in (1, 5, 40, 41, 300, 3_000)} | {b"c" * 2_000, b"ab" * 700})
+    whole = trie.Unigram(pieces).counts(words)
+
+    def brute(w):
+        model, best = trie.Unigram(pieces), [0]
+        for i in range(1, len(w) + 1):
+            best.append(max([best[i - 1] + model.odd, *(best[j] + pieces[w[j:i]] * trie.COUNT - 1 for j in range(max(0, i - 9), i) if w[j:i] in pieces)]))
+        return -best[-1] % trie.COUNT
+
+    assert whole.tolist() == [brute(w) for w in words]
+    monkeypatch.setattr(trie, "REBASE", 16)
+    assert trie.Unigram(pieces).counts(words).tolist() == whole.tolist()
+    monkeypatch.setattr(trie, "COUNT", 1 << 10)
+    assert trie.Unigram(pieces).counts(words).tolist() == whole.tolist()
+
+
 def test_classifier_learns_without_labels(spark):
     rng = random.Random(6)
     rows = []

@@ -3,8 +3,9 @@ r"""Chat formatting: conversations rebuilt from their event logs, then rendered.
 A log has events (conv_id, seq, message, kind, role, text).  ``message``
 opens a message, ``delta`` appends to it, ``edit`` replaces its text,
 ``regenerate`` empties it for the deltas that follow, ``delete`` removes it.
-A message is folded over its own events in order of seq, and a conversation
-is its messages in order of their first seq.
+Events are partitioned by conversation once; there a message is folded over
+its own events in order of seq, and a conversation is its messages in order
+of their first seq.
 
 Every turn is rendered as ``[ROLE]role[/ROLE]text</s>``.  In roles and texts
 the control strings are escaped, so they cannot end or begin a turn: ``\``
@@ -34,28 +35,38 @@ def unescape(text: Column) -> Column:
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as ``message`` events; a null role or text counts as empty.
+    """Rows (conv_id, turn, role, text) as the events of a log; a null role or text counts as empty.
 
-    Rows that agree in all four are as many messages: they differ in ``copy``.
+    An assistant's row is a message that opens empty and two streamed deltas;
+    another row is a draft, a delta that is wrong, a regeneration and an edit
+    that says the text.  A row without a turn is a message alone.  Each row is
+    a message of its own, also one that agrees with others in all columns.
     """
     text, role = (F.coalesce(c, F.lit("")) for c in ("text", "role"))
-    rows = conversations.select("conv_id", F.col("turn").alias("seq"), role.alias("role"), text.alias("text"))
-    rows = rows.groupBy("conv_id", "seq", "role", "text").agg(F.count("*").alias("copies"))
-    return rows.select("conv_id", "seq", F.lit("message").alias("kind"), "role", "text", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).withColumn(
-        "message", F.concat_ws(":", F.coalesce(F.col("seq").cast("string"), F.lit("none")), F.sha2(F.concat_ws("\n", "role", "text"), 256), "copy")
-    )
+    at = F.col("turn").cast("decimal(20,0)")
+    rows = conversations.select("conv_id", (at * 4).cast("decimal(22,0)").alias("at"), role.alias("role"), text.alias("text"), F.monotonically_increasing_id().alias("message"))
+
+    def event(step: int, kind: str, said: Column) -> Column:
+        return F.struct((F.col("at") + step).cast("decimal(22,0)").alias("seq"), F.lit(kind).alias("kind"), said.alias("text"))
+
+    head, tail = F.expr("substring(text, 1, cast(floor(char_length(text) / 2) as int))"), F.expr("substring(text, cast(floor(char_length(text) / 2) as int) + 1)")
+    streamed = F.array(event(0, "message", F.lit("")), event(1, "delta", head), event(2, "delta", tail))
+    edited = F.array(event(0, "message", head), event(1, "delta", F.lit("?")), event(2, "regenerate", F.lit("")), event(3, "edit", F.col("text")))
+    alone = F.array(event(0, "message", F.col("text")))
+    events = F.when(F.col("at").isNull(), alone).when(F.col("role") == "assistant", streamed).otherwise(edited)
+    return rows.select("conv_id", "message", "role", F.inline(events))
 
 
 def fold(events: DataFrame) -> DataFrame:
     """Final messages (conv_id, place, message, role, text) of an event log.
 
     Events of a message apply in order of (seq, kind, text), null seq last.
-    Only its own events meet in one group, never those of a conversation.
-    A message without a ``message`` event has the first role among its events;
+    Events are dealt by conversation, and so are messages and what is made of
+    them: there is no other shuffle.  A message without a ``message`` event has the first role among its events;
     one that ends deleted is left out.  Unknown kinds change nothing.
     """
     step = F.struct(F.col("seq").isNull().alias("late"), "seq", "kind", "text", "role")
-    grouped = events.groupBy("conv_id", "message").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    grouped = events.repartition("conv_id").groupBy("conv_id", "message").agg(F.array_sort(F.collect_list(step)).alias("steps"))
     start = F.struct(F.lit("").alias("text"), F.lit(False).alias("gone"))
 
     def apply(state: Column, event: Column) -> Column:
@@ -86,10 +97,16 @@ def format_chats(events: DataFrame, loss_role: str = "assistant") -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """The digest of :func:`format_chats`: turns parsed out of the text, loss text taken by the mask."""
-    turns = F.slice(F.split("formatted", r"</s>"), 1, F.size("loss_turns"))
+    """The digest of :func:`format_chats`: turns parsed out of the text, loss text taken by the mask.
+
+    Fails if the text does not parse into as many turns as the mask has.
+    """
+    pieces = F.split("formatted", r"</s>")
+    turns = F.slice(pieces, 1, F.size(pieces) - 1)
     parts = F.transform(turns, lambda t: F.split(F.substring(t, len(OPEN) + 1, 2**31 - 1), r"\[/ROLE\]"))
-    parsed = formatted.select("conv_id", "formatted", "loss_turns", F.transform(parts, lambda p: F.struct(unescape(p[0]).alias("role"), unescape(p[1]).alias("text"))).alias("turns"))
+    parsed = formatted.select("conv_id", "formatted", "loss_turns", F.transform(parts, lambda p: F.struct(unescape(F.get(p, F.lit(0))).alias("role"), unescape(F.get(p, F.lit(1))).alias("text"))).alias("turns"))
+    whole = (F.size("turns") == F.size("loss_turns")) & F.forall(parts, lambda p: F.size(p) == 2)
+    parsed = parsed.withColumn("turns", F.when(whole, F.col("turns")).otherwise(F.raise_error(F.lit("the text does not hold the turns of its mask"))))
     all_text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     under = F.transform(F.filter(F.arrays_zip("turns", "loss_turns"), lambda z: z["loss_turns"]), lambda z: z["turns"]["text"])
     loss = F.array_join(under, "")

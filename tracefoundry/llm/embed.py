@@ -8,7 +8,8 @@ than to x's own a, then x is at most sin f beyond the plane between a and b.
 Of two cells only one visits the other, so a pair meets once.  Clustered
 vectors visit few cells; for vectors without clusters the bound excludes
 little, and the work nears that of all pairs of a label.  A label has as many
-cells as its size asks for: the first ones of the common list of centroids.
+cells as its size asks for, two at least: the first ones of the common list of
+centroids.
 
 Cells hold vectors of one label and dimension only.  Cells are cut into
 blocks of BLOCK rows; a task multiplies one block of residents by one block
@@ -32,9 +33,9 @@ from .components import connected_components, hooks
 
 #: Vectors that centroids are fitted on, at most about this many.
 SAMPLE = 16_384
-#: Vectors of a label per centroid aimed at, and centroids at most.
+#: Vectors of a label per centroid aimed at, and vectors of the sample that a centroid needs.
 PER_CELL = 2_000
-MOST_CELLS = 4_096
+FITTED = 4
 BLOCK = 2_048
 ROUNDS = 8
 
@@ -148,17 +149,18 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PE
     groups = unique.groupBy("label", F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
     dims = groups.groupBy("dim").agg(F.sum("n").alias("n"), F.max("n").alias("most")).orderBy(F.desc("n"), "dim").first()
     total, dim, most = (dims["n"], dims["dim"], dims["most"]) if dims else (0, 1, 0)
-    cells = int(min(MOST_CELLS, max(1, most // per_cell)))
     chosen = unique.where((F.size("embedding") == dim) & (unit(F.struct("label", "key"), 6) < SAMPLE / max(total, 1)))
     # in an order without meaning, as labels take the first centroids
-    taken = [r["embedding"] for r in chosen.orderBy(unit(F.struct("label", "key"), 7), "label", "key").limit(2 * SAMPLE).select("embedding").collect()] if cells > 1 else []
+    taken = [r["embedding"] for r in chosen.orderBy(unit(F.struct("label", "key"), 7), "label", "key").limit(2 * SAMPLE).select("embedding").collect()]
+    # the bound of the sample bounds the centroids; fuller cells are cut into more blocks
+    cells = max(2, min(most // per_cell, len(taken) // FITTED))
     centres = spherical_kmeans(np.array(taken, dtype=np.float64), min(cells, len(taken))) if taken else np.eye(1, dim)
 
-    schema = "label int, rep long, copies long, embedding array<double>, cells int, home int, visits array<int>"
+    schema = f"label {vectors.schema['label'].dataType.simpleString()}, rep long, copies long, embedding array<double>, cells int, home int, visits array<int>"
     # a power of two, so that few numbers of cells are about
-    asked = groups.select("label", "dim", F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.lit(1.0), F.col("n") / per_cell)))).cast("int").alias("cells"))
+    asked = groups.select("label", "dim", F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.lit(2.0), F.col("n") / per_cell)))).cast("int").alias("cells"))
     sized = unique.withColumn("dim", F.size("embedding")).join(asked, ["label", "dim"])
-    shaped = sized.select(F.col("label").cast("int").alias("label"), "rep", "copies", F.transform("embedding", lambda v: v.cast("double")).alias("embedding"), "cells")
+    shaped = sized.select("label", "rep", "copies", F.transform("embedding", lambda v: v.cast("double")).alias("embedding"), "cells")
     placed = cut(shaped.mapInArrow(_assign(centres, threshold), schema), "op6-placed")
 
     cell = [F.col("label"), F.size("embedding").alias("dim"), "home"]
@@ -194,3 +196,20 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PE
     out = rows.join(named, ["label", "key"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+
+
+ORACLE = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach(node, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+), found AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS n_links, f.component_id, e.vec_id = f.component_id AS kept
+FROM embeddings e JOIN found f ON f.node = e.vec_id
+"""

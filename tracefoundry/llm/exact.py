@@ -8,13 +8,16 @@ The index has three parts in the shared folder:
   holds more than its capacity splits on its next bit; when its local depth
   is the directory's, the directory doubles.  The directory comes from counts
   per leading bits, at most 2**MAX_DEPTH of them, whatever the input's size;
+  a bucket that is over capacity at that depth splits on as many further bits
+  as its count asks for, in a directory of its own (keys are hashes, so their
+  bits halve it);
 * entries: the texts of keys with more than one row, dealt to owner tasks by
   bucket, that is by key range.  A key with more than CELL rows is dealt to
   several cells of its bucket, each with a copy of the chain's head.
 
 An owner compares the bytes of each entry with the head of its key's chain;
 entries that differ (a collision) are chained: they go through the same step
-with the least of them as head, until none is left.
+with the first of them as head, until none is left.
 """
 
 from __future__ import annotations
@@ -40,11 +43,12 @@ def hash_key(norm: Column) -> Column:
     return F.xxhash64(norm)
 
 
-def directory(counts: dict[int, int], capacity: int, max_depth: int = MAX_DEPTH) -> list[tuple[int, int]]:
+def directory(counts: dict[int, int], capacity: int, max_depth: int) -> list[tuple[int, int]]:
     """Slots (bucket, local depth) of an extendible-hash directory over ``counts``.
 
     ``counts`` has the number of rows by the leading ``max_depth`` bits of
-    their keys.  Buckets that are over capacity at ``max_depth`` stay whole.
+    their keys.  A bucket that is over capacity at ``max_depth`` gets a local
+    depth beyond it, enough for its parts to be within capacity on average.
     """
     prefix = [0] * (2**max_depth + 1)
     for i in range(2**max_depth):
@@ -58,7 +62,11 @@ def directory(counts: dict[int, int], capacity: int, max_depth: int = MAX_DEPTH)
     work = [(0, 0)]
     while work:
         bits, local = work.pop()
-        if local == max_depth or load(bits, local) <= capacity:
+        if (n := load(bits, local)) <= capacity:
+            continue
+        if local == max_depth:
+            more = min((-(-n // capacity) - 1).bit_length(), 62 - max_depth)
+            slots[bits << (depth - local)] = (bits, local + more)
             continue
         if local == depth:
             slots = [slot for slot in slots for _ in range(2)]
@@ -94,24 +102,26 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # the directory: at most 2**MAX_DEPTH counts reach the driver
     lead = F.shiftrightunsigned("key", 64 - MAX_DEPTH)
     counted = keys.where("rows > 1").groupBy(lead.alias("lead")).agg(F.sum(F.least("rows", F.lit(CELL))).alias("n")).collect()
-    slots = directory({r["lead"]: r["n"] for r in counted}, capacity)
+    slots = directory({r["lead"]: r["n"] for r in counted}, capacity, MAX_DEPTH)
     depth = len(slots).bit_length() - 1
     slot = F.shiftrightunsigned("key", 64 - depth).cast("int") if depth else F.lit(0)
-    table = spark.createDataFrame([(i, b) for i, (b, _) in enumerate(slots)], "slot int, bucket int")
+    table = spark.createDataFrame([(i, local) for i, (_, local) in enumerate(slots)], "slot int, local int")
     plan = keys.where("rows > 1").select("key", slot.alias("slot"), F.ceil(F.col("rows") / CELL).cast("int").alias("cells"))
-    # 2**MAX_DEPTH slots at most, so the broadcast is bounded
-    plan = cut(plan.join(F.broadcast(table), "slot").drop("slot"), "op5-directory")
-    held = narrowed(entries.withColumn("key", hash_key(F.col("norm"))), plan, ["key"], "op5-copies").join(plan, "key")
-    cell = F.pmod(F.xxhash64("doc_id", "points"), F.col("cells")).cast("int")
+    # 2**MAX_DEPTH slots at most, so the broadcast is bounded; a bucket is named by its leading bits with a 1 before them
+    name = F.expr("if(local = 0, 1L, shiftrightunsigned(key, 64 - local) | shiftleft(1L, local))")
+    plan = cut(plan.join(F.broadcast(table), "slot").select("key", "cells", name.alias("bucket")), "op5-directory")
+    copies = narrowed(entries.withColumn("key", hash_key(F.col("norm"))), plan, ["key"], "op5-copies")
+    held = copies.join(plan, "key")
+    # a cell for a row, not for its doc_id, which many rows may share
+    cell = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("cells")).cast("int")
     open_ = cut(held.select("bucket", "key", "cells", cell.alias("cell"), "doc_id", "points", "norm"), "op5-entries")
+    drop_cut(plan, copies)
 
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "points")
     chained = None
     while not open_.isEmpty():
-        least = open_.groupBy("bucket", "key", "cells").agg(F.min(order).alias("first")).select("bucket", "key", "cells", F.col("first.doc_id").alias("head_id"), F.col("first.points").alias("head_points"))
-        head = open_.join(least, ["bucket", "key", "cells"]).where(F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("points") == F.col("head_points")))
-        # rows that share doc_id and length may still differ: one text of them is the head
-        heads = head.groupBy("bucket", "key", "cells", "head_id").agg(F.min("norm").alias("head"))
+        # one text for each key and task goes to the shuffle
+        first = F.min_by("norm", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "points", F.xxhash64("norm").alias("tie")))
+        heads = open_.groupBy("bucket", "key", "cells").agg(first.alias("head"))
         heads = heads.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).drop("cells")
         owners = width(spark)
         left = open_.repartition(owners, "bucket", "cell")

@@ -437,3 +437,24 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     found = made.join(named, (made.k1 == named.k1) & (made.k2 == named.k2) & (made.n_shingles == named.n) & made.doc_id.isNotNull(), "left")
     component = F.coalesce("component_id", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+ORACLE = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+), parts AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM parts a JOIN parts b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach(node, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+), found AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, f.component_id, s.doc_id = f.component_id AS kept
+FROM sets s JOIN found f ON f.node = s.doc_id
+"""

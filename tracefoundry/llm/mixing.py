@@ -7,8 +7,9 @@ more than its size is first taken whole (complete epochs); the rest of its
 target is the prefix of that order whose running sum of words meets it.
 
 The running sum goes in two levels, so a source with a third of all rows is
-no single task: keys fall into order-keeping bins, sums per bin are added up
-first, and only rows of one bin are sorted together.
+no single task: rows are range-partitioned by source and key, sums of a
+partition are added up first, and only rows of one partition are sorted
+together.
 """
 
 from __future__ import annotations
@@ -16,15 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut, unit
+from .common import SPACE, cut, unit, width
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
-#: Rows of a bin on average, and bins of a source at most.
-BIN_ROWS = 100
-MOST_BINS = 1 << 20
-
 
 def word_count(text: Column) -> Column:
     """Runs of bytes other than space and 0x09-0x0D; 0 for null."""
@@ -80,18 +77,20 @@ def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, share:
     """
     rate = letter_share(F.col("text")) if quality is None else quality
     carry = carry or []
-    sized = docs.select("doc_id", *carry, "source", word_count(F.col("text")).alias("size"), (-F.log(unit(F.col("doc_id"))) / rate).alias("key"))
+    sized = docs.select("doc_id", *carry, "source", word_count(F.col("text")).alias("size"), (-F.log(unit(F.xxhash64("doc_id", "text"))) / rate).alias("key"))
     sized = cut(sized, "op4-sized")
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = targets(sizes, weights, share, most)
     goals = goals.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     goals = goals.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    goals = goals.withColumn("bins", F.least(F.ceil(F.col("rows") / BIN_ROWS), F.lit(MOST_BINS)))
     goals = cut(goals.withColumnRenamed("source", "of"), "op4-goals")
 
     same = F.col("source").eqNullSafe(F.col("of"))
-    binned = sized.join(goals, same).drop("of").withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * F.col("bins")))
-    sums = binned.groupBy("source", "bin").agg(F.sum("size").alias("words"))
+    # sampled bounds make the partitions even whatever the quality weights are
+    ranged = sized.repartitionByRange(width(docs.sparkSession), "source", "key", "doc_id", "size")
+    ranged = cut(ranged.withColumn("bin", F.spark_partition_id()), "op4-ranged")
+    binned = ranged.join(goals, same).drop("of")
+    sums = ranged.groupBy("source", "bin").agg(F.sum("size").alias("words"))
     run = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("of"), F.col("bin").alias("at"), F.coalesce(F.sum("words").over(run), F.lit(0)).alias("before"))
     placed = binned.join(sums, same & (F.col("bin") == F.col("at"))).drop("of", "at")

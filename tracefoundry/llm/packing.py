@@ -32,30 +32,24 @@ from .tokens import tokenizer
 
 WINDOW = 2048
 END_ID = 1
-#: Columns of the least-squares problem, and steps of its solver.
-MOST_COMBINATIONS = 60_000
-STEPS = 400
+#: Steps of the least-squares solver.
+STEPS = 300
 
 
-def combinations(lengths: np.ndarray, window: int, most: int = MOST_COMBINATIONS) -> np.ndarray:
-    """Index triples into ``lengths`` (ascending) of pairs and triples that sum to ``window``.
+def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
+    """Index triples into ``lengths`` (ascending) of all pairs and triples that sum to ``window``.
 
-    A pair has -1 as third index.  Triples are enumerated with evenly spaced
-    shortest lengths so that at most ``most`` come.
+    A pair has -1 as third index.  There are at most window**2 / 12 of them.
     """
-    at = np.full(window + 1, -1)
+    at = np.full(window + 1, -1, dtype=np.int32)
     at[lengths] = np.arange(len(lengths))
     other = at[window - lengths]
     i = np.flatnonzero((other >= 0) & (lengths * 2 <= window))
     found = [np.stack([i, other[i], np.full(len(i), -1)], axis=1)]
-    stride = max(1, len(lengths) ** 2 // 6 // most)
-    for a in range(0, len(lengths), stride):
-        b = np.arange(a, len(lengths))
-        rest = window - lengths[a] - lengths[b]
-        b, rest = b[rest >= lengths[b]], rest[rest >= lengths[b]]
-        c = at[rest]
-        b, c = b[c >= 0], c[c >= 0]
-        found.append(np.stack([np.full(len(b), a), b, c], axis=1))
+    for a, shortest in enumerate(lengths[lengths * 3 <= window]):
+        b = np.arange(a, np.searchsorted(lengths, (window - shortest) // 2, "right"))
+        c = at[window - shortest - lengths[b]]
+        found.append(np.stack([np.full(len(b), a), b, c], axis=1)[c >= 0])
     return np.concatenate(found)
 
 
@@ -128,7 +122,7 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int
     return runs
 
 
-def _pieces(path: str, window: int):
+def _pieces(path: str, window: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = tokenizer(path), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
@@ -144,22 +138,35 @@ def _pieces(path: str, window: int):
                         for column, x in zip(out, (doc, start, len(own), zlib.crc32(own.tobytes()), len(ids), seen[len(own)], own)):
                             column.append(x)
                         seen[len(own)] += 1
-                lens = np.concatenate([[0], np.cumsum(out[2])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(lens), pa.array(np.concatenate(out[6]).astype(np.int32)))
-                long = [pa.array(c, pa.int64()) for c in out[:6]]
-                yield pa.RecordBatch.from_arrays([*long, pa.array(np.full(len(out[0]), part), pa.int64()), ids], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank", "part", "ids"])
+                columns = [*(pa.array(c, pa.int64()) for c in out[:6]), pa.array(np.full(len(out[0]), part), pa.int64())]
+                if with_ids:
+                    lens = np.concatenate([[0], np.cumsum(out[2])]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(lens), pa.array(np.concatenate(out[6]).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank", "part", "ids"][: len(columns)])
 
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDOW) -> DataFrame:
+def _runs(spark, planned: list[tuple[int, int, int, int, int]]) -> DataFrame:
+    """The plan as a table with a row for each run and each ``cell`` it meets: ranks of a length in even steps."""
+    of, first, past, sequence, offset = np.array(planned or [(0, 0, 1, 0, 0)], dtype=np.int64).T
+    total, many = np.zeros(of.max() + 1, np.int64), np.bincount(of)
+    np.maximum.at(total, of, past)
+    step = (-(-total // np.maximum(many, 1)))[of]
+    cells = (past - 1) // step - first // step + 1
+    cell = np.repeat(first // step - np.cumsum(cells) + cells, cells) + np.arange(cells.sum())
+    columns = {"of": of, "step": step, "first": first, "past": past, "sequence": sequence, "offset": offset}
+    return spark.createDataFrame(pa.table({k: np.repeat(v, cells) for k, v in columns.items()} | {"cell": cell}))
+
+
+def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
-    ``ids`` are the piece's token ids; a document ends with id 1.  Pieces of a
-    sequence are gapless from offset 0; what is left of the window is padding.
-    Null and empty texts are the end id alone.  Repeated rows are packed as
-    often as they come.  Other columns are ignored whatever their names.  An
-    empty table gives an empty result.
+    ``ids`` are the piece's token ids, left out unless ``with_ids``; a
+    document ends with id 1.  Pieces of a sequence are gapless from offset 0;
+    what is left of the window is padding.  Null and empty texts are the end
+    id alone.  Repeated rows are packed as often as they come.  Other columns
+    are ignored whatever their names.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -167,15 +174,18 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
         import public_tokenizers
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, rank long, part long, ids array<int>"
-    pieces = cut(docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer_path, window), schema), "op2-pieces")
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, rank long, part long" + ", ids array<int>" * with_ids
+    pieces = cut(docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer_path, window, with_ids), schema), "op2-pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut(counts.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))), "op2-counts")
     # one row per length, so at most ``window``
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    runs = spark.createDataFrame(plan(histogram, window) or [(0, 0, 0, 0, 0)], "of long, first long, past long, sequence long, offset long")
-    ranked = pieces.join(counts.select("part", "length", "ahead"), ["part", "length"]).withColumn("at", F.col("ahead") + F.col("rank"))
-    # the plan follows the window, not the corpus: at most a few runs per length
-    placed = ranked.join(F.broadcast(runs), (F.col("length") == F.col("of")) & (F.col("at") >= F.col("first")) & (F.col("at") < F.col("past")))
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("sequence") + F.col("at") - F.col("first")).alias("sequence_id"), "offset", "ids")
+    # the plan follows the window, not the corpus: at most two rows for each run, and window**2 / 4 runs
+    runs = F.broadcast(_runs(spark, plan(histogram, window)))
+    steps = F.broadcast(runs.select(F.col("of").alias("length"), F.col("step").alias("ranked_step")).distinct())
+    # counts grow with the tasks: never broadcast
+    ranked = pieces.join(counts.select("part", "length", "ahead").hint("merge"), ["part", "length"]).withColumn("at", F.col("ahead") + F.col("rank"))
+    ranked = ranked.join(steps, "length").withColumn("in", F.expr("at div ranked_step"))
+    placed = ranked.join(runs, (F.col("length") == F.col("of")) & (F.col("in") == F.col("cell")) & (F.col("at") >= F.col("first")) & (F.col("at") < F.col("past")))
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("sequence") + F.col("at") - F.col("first")).alias("sequence_id"), "offset", *["ids"] * with_ids)

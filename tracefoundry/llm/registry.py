@@ -6,11 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact, urls
+from . import chat, embed, exact, minhash, urls
 from .common import read
-from .embed import near_vectors
 from .lines import fuzzy_lines
-from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
 from .quality import classify
@@ -22,7 +20,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read(spark, sf_dir, "documents")).drop("ids")
+    return pack(read(spark, sf_dir, "documents"), with_ids=False)
 
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,11 +40,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(read(spark, sf_dir, "embeddings"))
+    return embed.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,5 +80,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_formatting": chat.ORACLE,
         "op5_exact_dedup": exact.ORACLE,
+        "op6_embedding_near_dedup": embed.ORACLE,
+        "op7_minhash_near_dedup": minhash.ORACLE,
         "op9_url_filters": urls.ORACLE,
     }

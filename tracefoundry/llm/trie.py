@@ -28,6 +28,8 @@ MARK = "▁".encode()
 UNIT = 1e-4
 #: A node's value is score * COUNT - tokens, so one comparison ranks both.
 COUNT = 1 << 22
+#: Bytes of a word after which values count from where they are, so they fit 64 bits however long it is.
+REBASE = 1 << 16
 #: Distinct pre-tokens in a trie at a time.
 TRIE_WORDS = 200_000
 
@@ -68,7 +70,8 @@ class Unigram:
         lens = np.array([len(w) for w in words], dtype=np.int64)
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
         starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-        best_end = np.zeros(n, dtype=np.int64)
+        tokens = np.zeros(n, dtype=np.int64)
+        spent = np.zeros(1, dtype=np.int64)  # tokens of each node that its value leaves out
         # words from one below to here share a prefix of this many bytes
         alive = np.arange(n)
         node = np.zeros(n, dtype=np.int64)  # of each word alive, among the nodes of the level above
@@ -98,12 +101,20 @@ class Unigram:
             owner, moved, source = owner[on], moved[on], source[on]
             whole = self.ends[moved]
             np.maximum.at(value, owner[whole], before[source[whole]] + self.value[moved[whole]])
-            at, state, before, forward = owner, moved, before[source], value
+            at, state, before, forward, spent = owner, moved, before[source], value, spent[parent]
             depth += 1
             done = lens[alive] == depth
-            best_end[alive[done]] = forward[child[done]]
+            tokens[alive[done]] = self.tokens(forward[child[done]]) + spent[child[done]]
             alive, node = alive[~done], child[~done]
-        return -best_end % COUNT
+            if depth % REBASE == 0:
+                spent = spent + self.tokens(forward)
+                before, forward = before - forward[at], np.zeros_like(forward)
+        return tokens
+
+    @staticmethod
+    def tokens(value: np.ndarray) -> np.ndarray:
+        """Tokens of a value; just after a rebase a path may have a few less than the one it counts from."""
+        return (COUNT // 2 - value) % COUNT - COUNT // 2
 
 
 _made: dict[str, Unigram] = {}
