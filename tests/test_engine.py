@@ -447,3 +447,25 @@ def test_text_queries_answer_for_every_language(spark, tmp_path):
     for i, t, _ in rows:
         seen.setdefault(None if t is None else re.sub(r"[^\w]+", "", re.sub(r"https?://\S+|@\w+|\brt\b:?", " ", t.lower())), i)
     assert sorted(r["doc_id"] for r in QUERIES["repost_removal_all"](spark, str(tmp_path)).collect()) == sorted(seen.values())
+
+
+def test_time_split_ties_and_missing_times(spark):
+    """Equal rows at the border are no more and no fewer than asked for; a missing time has no split."""
+    rows = spark.createDataFrame([(1, "a")] * 10 + [(2, "a")] * 7 + [(3, "b")] * 3, "t int, o string")
+    got = selection.time_split(rows, F.col("t"), F.col("o"), 0.25)
+    assert sorted((r["t"], r["split"]) for r in got.collect()) == sorted([(1, "train")] * 10 + [(2, "train")] * 5 + [(2, "val")] * 2 + [(3, "val")] * 3)
+    days = spark.createDataFrame([("2024-01-01",), (None,), ("2030-01-01",)], "d string").select(F.col("d").cast("timestamp").alias("t"))
+    assert [r[0] for r in days.select(selection.cutoff_split(F.col("t"), "2025-01-01", "2026-01-01")).collect()] == ["train", None, "test"]
+
+
+def test_labels_are_written(spark, tmp_path):
+    from tracefoundry.plans import dataset
+
+    raw = spark.createDataFrame([("1", "own_journal", "BTC", "2024-01-01T00:00:00Z", "some text", None, {"k": "v"}), ("2", "kol_post", "BTC", "2024-03-01T00:00:00Z", "x", "long", {})], "id string, source string, instrument string, timestamp_context string, raw_text string, decision_raw string, metadata map<string,string>")
+    trades = spark.sql("SELECT 'BTC' AS instrument, TIMESTAMP '2024-01-01 01:00:00' AS ts, 2.0D AS realized_pnl_pct")
+    labeled = dataset.run_labeling(raw, trades, 3600)
+    dataset.write_labels(labeled, str(tmp_path))
+    back = {r["id"]: r for r in spark.read.json(f"{tmp_path}/labeled.jsonl").collect()}
+    assert back["1"]["verdict"] == "WIN" and back["2"]["verdict"] == "EXPIRED" and back["1"]["metadata"] == '{"k":"v"}'
+    queue = spark.read.option("header", True).csv(f"{tmp_path}/review_queue.csv").collect()
+    assert {r["id"]: r["outcome_verdict"] for r in queue}["1"] == "WIN"

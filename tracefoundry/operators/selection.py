@@ -69,16 +69,26 @@ def ordinal_of(rows: DataFrame, order: list[Column], name: str = "at") -> DataFr
 
 
 def time_split(rows: DataFrame, time: Column, tie: Column, fraction: float = 0.15, top_k: int = TOP_K) -> DataFrame:
-    """``rows`` with ``split``: the latest ``max(1, int(n * fraction))`` are val, the others train."""
+    """``rows`` with ``split``: the latest ``max(1, int(n * fraction))`` are val, the others train.
+
+    Of rows that agree in time and tie at the border, as many are val as the size asks for.
+    """
     n = rows.count()
     n_val = validation_size(n, fraction)
     if n_val >= n:
         return rows.withColumn("split", F.lit("val"))
     keyed = rows.withColumn("__t", time).withColumn("__o", tie)
     if n_val <= top_k:
-        latest = keyed.select("__t", "__o").orderBy(F.desc("__t"), F.desc("__o")).limit(n_val).withColumn("split", F.lit("val"))
-        met = keyed.join(latest, ["__t", "__o"], "left")
-        return met.select(*rows.columns, F.coalesce("split", F.lit("train")).alias("split"))
+        latest = keyed.select(F.struct("__t", "__o").alias("key")).orderBy(F.desc("key")).limit(n_val)
+        border = latest.agg(F.min("key").alias("__border")).withColumn("__one", F.lit(1))
+        wanted = latest.groupBy("key").agg(F.count("*").alias("__wanted")).withColumnRenamed("key", "__border").join(border, "__border")
+        # one row: the border and how many rows on it are val
+        met = keyed.withColumn("__one", F.lit(1)).join(F.broadcast(wanted), "__one")
+        key = F.struct("__t", "__o")
+        clear = met.where(key != F.col("__border")).withColumn("__split", F.when(key > F.col("__border"), F.lit("val")).otherwise(F.lit("train")))
+        at = F.row_number().over(Window.partitionBy("__t", "__o").orderBy("__one"))
+        edge = met.where(key == F.col("__border")).withColumn("__at", at).withColumn("__split", F.when(F.col("__at") <= F.col("__wanted"), F.lit("val")).otherwise(F.lit("train"))).drop("__at")
+        return clear.union(edge).select(*rows.columns, F.col("__split").alias("split"))
     ranked = ordinal_of(keyed, [F.col("__t"), F.col("__o")], "__at")
     return ranked.withColumn("split", F.when(F.col("__at") >= n - n_val, F.lit("val")).otherwise(F.lit("train"))).drop("__t", "__o", "__at")
 
@@ -88,9 +98,9 @@ def assign_splits(examples: DataFrame, val_fraction: float = 0.15) -> DataFrame:
 
 
 def cutoff_split(time: Column, train_cutoff: str, val_cutoff: str) -> Column:
-    """train before the first date, val before the second, test after."""
+    """train before the first date, val before the second, test after; null without a time."""
     stamp = lambda s: F.lit(s).cast("timestamp")
-    return F.when(time < stamp(train_cutoff), F.lit("train")).when(time < stamp(val_cutoff), F.lit("val")).otherwise(F.lit("test"))
+    return F.when(time < stamp(train_cutoff), F.lit("train")).when(time < stamp(val_cutoff), F.lit("val")).when(time.isNotNull(), F.lit("test"))
 
 
 def rejection(min_quality: float = 0.5, include_losses: bool = True, max_tokens: int = 4096) -> Column:
