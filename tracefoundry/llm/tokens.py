@@ -49,37 +49,42 @@ class WordTokenizer:
         self.part: dict[bytes, int] = {b"": 0}
         self.flat, self.starts, self.lens = array("I"), array("q", [0]), array("q", [0])
 
-    def _add(self, parts: Sequence[bytes], ids: Sequence[int], lens: np.ndarray) -> None:
+    def _add(self, parts: Sequence[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
         first = len(self.starts)
-        self.starts.extend((len(self.flat) + np.cumsum(lens) - lens).tolist())
-        self.lens.extend(lens.tolist())
-        self.flat.extend(ids)
+        self.starts.frombytes((len(self.flat) + np.cumsum(lens) - lens).astype(np.int64).tobytes())
+        self.lens.frombytes(lens.astype(np.int64).tobytes())
+        self.flat.frombytes(ids.astype(np.uint32).tobytes())
         self.part.update(zip(parts, range(first, first + len(parts))))
 
     def _add_each(self, parts: list[bytes]) -> None:
         found = [e.ids for e in self.model.encode_batch_fast([w.decode("utf-8") for w in parts], add_special_tokens=False)]
-        self._add(parts, [i for ids in found for i in ids], np.array([len(ids) for ids in found], dtype=np.int64))
+        self._add(parts, np.array([i for ids in found for i in ids]), np.array([len(ids) for ids in found], dtype=np.int64))
 
     def _learn(self, new: set[bytes]) -> None:
-        split = []
+        split, part = [], self.part
+        tails, letters, others = set(), set(), set()
         for w in new:
             core = w.rstrip(MARKS)
-            split.append((w, core, w[len(core) :]) if core and _letters(core) else (w, w, b""))
-        part = self.part
-        tails = {t for _, _, t in split if t not in part}
-        cores = {c for _, c, _ in split if c not in part}
-        self._add_each(sorted(tails))
-        plain = [c for c in cores if _letters(c)]
+            if core and _letters(core):
+                tail = w[len(core) :]
+                letters.add(core)
+                tails.add(tail)
+            else:
+                core, tail = w, b""
+                others.add(w)
+            split.append((w, core, tail))
+        self._add_each(sorted(t for t in tails if t not in part))
+        plain = [c for c in letters if c not in part]
         # runs of letters are one pre-token each: many are encoded as one text and told apart by word ends
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
-            ids = self.model.encode(b" ".join(some).decode("utf-8"), add_special_tokens=False).ids
+            ids = np.array(self.model.encode(b" ".join(some).decode("utf-8"), add_special_tokens=False).ids)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some):
                 self._add(some, ids, np.diff(ends, prepend=0))
             else:
                 self._add_each(some)
-        self._add_each([c for c in cores - tails if not _letters(c)])
+        self._add_each([c for c in others if c not in part])
         self.code.update((w, part[c] << TAIL_BITS | part[t]) for w, c, t in split)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,10 +105,10 @@ class WordTokenizer:
             self._learn(new)
             codes[miss] = [self.code[words[i]] for i in miss]
         pairs = np.stack([codes >> TAIL_BITS, codes & ((1 << TAIL_BITS) - 1)], axis=1)
-        n = np.array(self.lens, dtype=np.int64)[pairs].ravel()
+        n = np.frombuffer(self.lens, dtype=np.int64)[pairs].ravel()
         ends = np.cumsum(n)
-        source = np.repeat(np.array(self.starts, dtype=np.int64)[pairs].ravel() - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        ids = np.array(self.flat, dtype=np.uint32)[source]
+        source = np.repeat(np.frombuffer(self.starts, dtype=np.int64)[pairs].ravel() - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        ids = np.frombuffer(self.flat, dtype=np.uint32)[source] if len(source) else np.zeros(0, np.uint32)
         ends = ends[1::2]
         return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
 
