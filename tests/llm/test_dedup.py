@@ -168,18 +168,21 @@ def test_embeddings(spark, monkeypatch, per_cell):
         assert 0.95 * there <= found <= there
 
 
-def test_embeddings_near_threshold_in_many_cells(spark, monkeypatch):
-    """Pairs just above the threshold, without clusters, in 128 cells fitted on few of them: every link is found."""
-    monkeypatch.setattr(embed, "SAMPLE", 250)
+@pytest.mark.parametrize(("n", "sample", "fitted", "per_cell"), [(1000, 500, 2, 10), (550, 16_384, 1, 2)])
+def test_embeddings_near_threshold_in_many_cells(spark, monkeypatch, n, sample, fitted, per_cell):
+    """Pairs just above the threshold, without clusters, in 128 and in 512 cells, fitted on few or all of them: every link is found."""
+    monkeypatch.setattr(embed, "SAMPLE", sample)
+    monkeypatch.setattr(embed, "FITTED", fitted)
     rng = np.random.default_rng(3)
-    x, y = rng.normal(size=(2, 1000, 64))
+    x, y = rng.normal(size=(2, n, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     y -= (x * y).sum(axis=1, keepdims=True) * x
     y = 0.931 * x + np.sqrt(1 - 0.931**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
     rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([x, y]))]
-    rows += [(2000 + i, v.tolist(), 1) for i, v in enumerate(y[:9])]
-    got = embed.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), per_cell=10)
-    assert sorted(map(tuple, got.collect())) == sorted((i, int(i < 2000), i % 1000 if i < 2000 else i, i < 1000 or i >= 2000) for i, _, _ in rows)
+    rows += [(2 * n + i, v.tolist(), 1) for i, v in enumerate(y[:9])]
+    # labels of any type
+    got = embed.near_vectors(spark.createDataFrame([(i, v, f"l{k}") for i, v, k in rows], "vec_id long, embedding array<double>, label string"), per_cell=per_cell)
+    assert sorted(map(tuple, got.collect())) == sorted((i, int(i < 2 * n), i % n if i < 2 * n else i, i < n or i >= 2 * n) for i, _, _ in rows)
 
 
 def line_set(line):
@@ -210,3 +213,43 @@ def test_fuzzy_lines(spark):
     assert got[(None, 0)] == (None, 0, True)
     kept = {r["doc_id"]: r["text"] for r in lines.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all((kept[i] or "") == "\n".join(x for n, x in enumerate((t or "").split("\n")) if comp[(i, n)] == (i, n)) for i, t in rows if i is not None)
+
+
+def test_lines_of_shared_doc_ids_and_a_very_long_line(spark):
+    """Two texts under one doc_id keep their own lines; a line of 1 MB links with its near copy."""
+    rng = random.Random(12)
+    long = prose(rng, 200_000)
+    rows = [(1, "alpha beta gamma delta\nsecond line of one"), (1, "other words stand here\nalpha beta gamma delta"), (2, "alpha beta gamma delta!\nown line"), (3, long), (4, long[:-9] + "!"), (5, "x" * 1_000_000)]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, whole string")
+    got = {(r["doc_id"], r["text"]) for r in lines.drop_lines(docs).collect()}
+    first = [t for i, t in rows if i == 1]
+    # of the two texts that hold the line, the one that comes first keeps it
+    assert (2, "own line") in got and (3, long) in got and (4, "") in got and (5, "x" * 1_000_000) in got
+    kept = {t for i, t in got if i == 1}
+    assert kept in ({first[0], "other words stand here"}, {"second line of one", first[1]})
+
+
+@pytest.mark.parametrize("chunk", [1 << 19, 64])
+def test_buckets_meet_once(spark, monkeypatch, chunk):
+    """Buckets with two documents or more, each row once, whether they share it where they arise or not."""
+    monkeypatch.setattr(minhash, "CHUNK", chunk)
+    rng = random.Random(5)
+    rows = [(i, [rng.randrange(400) + 1000 * b for b in range(4)] + [7]) for i in range(300)]
+    made = spark.createDataFrame(rows + rows[:20], "doc_id long, buckets array<long>").repartition(3)
+    got = {(r["bucket"], r["doc_id"]) for r in minhash.buckets_of(made, minhash.Scheme("t", minhash.word_shingles, 5, 1)).collect()}
+    by = defaultdict(set)
+    for i, own in rows:
+        for b in own:
+            by[b].add(i)
+    assert got == {(b, i) for b, own in by.items() if len(own) > 1 for i in own}
+
+
+def test_many_short_near_equal_lines(spark, monkeypatch):
+    """Members that fill many blocks, with and without the filter of very large sets, give the same components."""
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice("ab") for _ in range(14))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, lines.fuzzy_lines(docs).collect()))
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(minhash, "DIRECT", 50)
+    assert sorted(map(tuple, lines.fuzzy_lines(docs).collect())) == want

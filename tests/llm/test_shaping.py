@@ -386,3 +386,24 @@ def test_pipeline_decides_by_row(spark):
     shared = [(7 if i % 2 else None, prose(rng, 10), "en", "s", 1) for i in range(40)]
     mixed = p.source_mix(spark, spark.createDataFrame(shared, schema), "").collect()
     assert len(mixed) == 60 and {r["text"] for r in mixed} == {r[1] for r in shared}
+
+
+def test_pipeline_on_an_empty_table(spark):
+    import corpus_pipeline as p
+
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long, row long, points long, mark long, key string")
+    for name, stage in p.STAGES:
+        assert stage(spark, docs, "").count() == 0, name
+
+
+def test_pipeline_ignores_other_columns(spark):
+    """Columns with the names that stages use inside change nothing."""
+    import corpus_pipeline as p
+
+    rows = [r[:5] for r in documents(n=12)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    plain = spark.createDataFrame(rows, schema)
+    more = spark.createDataFrame([(*r, 1, 2, 3, "k", 5, True) for r in rows], schema + ", row long, points long, mark long, key string, size long, kept boolean")
+    for name, stage in p.STAGES[:-1]:
+        a, b = (sorted(map(repr, stage(spark, d, "").collect())) for d in (plain, more))
+        assert a == b, name
