@@ -47,9 +47,15 @@ def typed_errors() -> Column:
 
 
 def json_errors(raw: Column) -> Column:
-    """Errors of a foreign JSON object, where an absent key and a null value differ."""
-    v = F.try_parse_json(raw)
+    """Errors of a foreign JSON object, where an absent key and a null value differ.
+
+    The text is parsed once: the rules read a variable that holds it.
+    """
     keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
+    return F.element_at(F.transform(F.array(F.try_parse_json(raw)), lambda v: _variant_errors(v, keys)), 1)
+
+
+def _variant_errors(v: Column, keys: Column) -> Column:
 
     def kind(path: str) -> Column:
         """Type name of the value at ``path``; null if the key is absent."""
