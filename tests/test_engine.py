@@ -469,3 +469,10 @@ def test_labels_are_written(spark, tmp_path):
     assert back["1"]["verdict"] == "WIN" and back["2"]["verdict"] == "EXPIRED" and back["1"]["metadata"] == '{"k":"v"}'
     queue = spark.read.option("header", True).csv(f"{tmp_path}/review_queue.csv").collect()
     assert {r["id"]: r["outcome_verdict"] for r in queue}["1"] == "WIN"
+
+
+def test_review_sample_share(spark):
+    """About 5 % of ids, the same in every run."""
+    ids = spark.range(20_000).where(selection.sampled(F.col("id"), 5))
+    first = {r["id"] for r in ids.collect()}
+    assert 850 < len(first) < 1150 and first == {r["id"] for r in ids.repartition(3).collect()}
