@@ -441,12 +441,12 @@ def test_text_queries_answer_for_every_language(spark, tmp_path):
     rows = list(zip(range(len(texts)), texts, langs))
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     first = {i: re.search(r"(?i)\b(the|der|les|que)\b", t or "") for i, t, _ in rows}
-    got = {r["doc_id"]: r["word"] for r in QUERIES["regex_first_keyword_all"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["word"] for r in QUERIES["regex_first_keyword"](spark, str(tmp_path)).collect()}
     assert got == {i: m and m[1].lower() for i, m in first.items()}
     seen = {}
     for i, t, _ in rows:
         seen.setdefault(None if t is None else re.sub(r"[^\w]+", "", re.sub(r"https?://\S+|@\w+|\brt\b:?", " ", t.lower())), i)
-    assert sorted(r["doc_id"] for r in QUERIES["repost_removal_all"](spark, str(tmp_path)).collect()) == sorted(seen.values())
+    assert sorted(r["doc_id"] for r in QUERIES["repost_removal"](spark, str(tmp_path)).collect()) == sorted(seen.values())
 
 
 def test_time_split_ties_and_missing_times(spark):

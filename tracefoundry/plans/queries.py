@@ -278,15 +278,8 @@ def verdict_counts(spark, sf_dir):
     return stats.verdict_counts(marked(spark, sf_dir).withColumn("outcome", F.struct("verdict")))
 
 
-@query("SELECT doc_id, nullif(lower(regexp_extract(text, '(?i)(?:^|[^a-zA-Z0-9_À-ÿ])(the|der|les|que)(?:[^a-zA-Z0-9_À-ÿ]|$)', 1)), '') AS word FROM documents WHERE lang = 'en'")
+@query("SELECT doc_id, nullif(lower(regexp_extract(text, '(?i)(?:^|[^a-zA-Z0-9_À-ÿ])(the|der|les|que)(?:[^a-zA-Z0-9_À-ÿ]|$)', 1)), '') AS word FROM documents")
 def regex_first_keyword(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").where("lang = 'en'")
-    return rows.select("doc_id", F.lower(T.first_word_of(F.col("text"), ("the", "der", "les", "que"))).alias("word"))
-
-
-@query()
-def regex_first_keyword_all(spark, sf_dir):
-    """Documents of every language and of none; DuckDB's classes differ there, so a test folds it in Python."""
     return table(spark, sf_dir, "documents").select("doc_id", F.lower(T.first_word_of(F.col("text"), ("the", "der", "les", "que"))).alias("word"))
 
 
@@ -437,15 +430,8 @@ def theoretical_outcome(spark, sf_dir):
     return matching.first_touch(ideas, bars, 48 * 3600).select("id", F.when(pct.isNull(), F.lit("open")).when(pct < 0, F.lit("stop")).otherwise(F.lit("target")).alias("ended"))
 
 
-@query(r"SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY md5(regexp_replace(regexp_replace(lower(text), 'https?://\S+', ' ', 'g'), '[^a-z0-9_À-ɏ]+', '', 'g')) ORDER BY doc_id) = 1 AND lang = 'en'")
+@query(r"SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY md5(regexp_replace(regexp_replace(lower(text), 'https?://\S+', ' ', 'g'), '[^a-z0-9_À-ɏ]+', '', 'g')) ORDER BY doc_id) = 1")
 def repost_removal(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return semantic.drop_reposts(rows, [F.col("doc_id")]).where("lang = 'en'").select("doc_id")
-
-
-@query()
-def repost_removal_all(spark, sf_dir):
-    """First posts of every language and of none; DuckDB's classes differ there, so a test folds it in Python."""
     return semantic.drop_reposts(table(spark, sf_dir, "documents").select("doc_id", "text"), [F.col("doc_id")]).select("doc_id")
 
 
