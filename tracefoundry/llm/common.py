@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -124,3 +124,32 @@ def narrowed(rows: DataFrame, ids: DataFrame, on: list[str], name: str) -> DataF
     with bloom_filters(rows.sparkSession):
         least = F.lit(-(2**63)).cast("long")
         return cut(rows.join(ids.where(F.col(on[0]) >= least), on, "left_semi"), name)
+
+
+#: A key is very common if it has more than one part in HOT of a task's mean rows, so HOT keys a task at most are.
+HOT = 4
+
+
+def spread_join(rows: DataFrame, one: DataFrame, on: list[str], times: str, total: int, how: str = "left", idle: Column | None = None) -> DataFrame:
+    """``rows`` joined with ``one``, of which no task gets all rows of a very common key.
+
+    ``one`` has a row per key ``on``; its column ``times``, never null, says how
+    many of the ``total`` rows have the key.  Very common keys are at most
+    HOT for each shuffle partition whatever the input, so their rows of ``one``
+    are broadcast, and the rows that meet them are dealt evenly, as are ``idle``
+    ones, which have no partner.  ``rows`` and ``one`` are read from tables, so
+    that a task that runs again deals the same.
+    """
+    spark = rows.sparkSession
+    hot = one.where(F.col(times) * (HOT * width(spark)) > total)
+    if idle is None and hot.isEmpty():
+        return rows.join(one, on, how)
+    values = [c for c in one.columns if c not in on]
+    met = rows.join(F.broadcast(hot.select(*on, F.struct(*values).alias("__hot"))), on, "left")
+    even = F.col("__hot").isNotNull() | (F.lit(False) if idle is None else idle)
+    # a key's own salt is no constant, which the optimiser would take out of the join's keys
+    met = met.withColumn("__salt", F.when(even, F.monotonically_increasing_id()).otherwise(F.xxhash64(*on)))
+    cold = one.select(*on, F.xxhash64(*on).alias("__salt"), F.struct(*values).alias("__cold"))
+    met = met.join(cold, [*on, "__salt"], "left").withColumn("__one", F.coalesce("__hot", "__cold"))
+    met = met if how == "left" else met.where("__one is not null")
+    return met.select(*rows.columns, *(F.col("__one")[c].alias(c) for c in values))

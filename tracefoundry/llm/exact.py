@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut, drop_cut, narrowed, width
+from .common import HOT, SPACE, cut, drop_cut, narrowed, spread_join, width
 
 MAX_DEPTH = 14
 #: Rows of a bucket before it splits, and rows of one key in one cell.
@@ -106,12 +106,12 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     depth = len(slots).bit_length() - 1
     slot = F.shiftrightunsigned("key", 64 - depth).cast("int") if depth else F.lit(0)
     table = spark.createDataFrame([(i, local) for i, (_, local) in enumerate(slots)], "slot int, local int")
-    plan = keys.where("rows > 1").select("key", slot.alias("slot"), F.ceil(F.col("rows") / CELL).cast("int").alias("cells"))
+    plan = keys.where("rows > 1").select("key", "rows", slot.alias("slot"), F.ceil(F.col("rows") / CELL).cast("int").alias("cells"))
     # 2**MAX_DEPTH slots at most, so the broadcast is bounded; a bucket is named by its leading bits with a 1 before them
     name = F.expr("if(local = 0, 1L, shiftrightunsigned(key, 64 - local) | shiftleft(1L, local))")
-    plan = cut(plan.join(F.broadcast(table), "slot").select("key", "cells", name.alias("bucket")), "op5-directory")
+    plan = cut(plan.join(F.broadcast(table), "slot").select("key", "rows", "cells", name.alias("bucket")), "op5-directory")
     copies = narrowed(entries.withColumn("key", hash_key(F.col("norm"))), plan, ["key"], "op5-copies")
-    held = copies.join(plan, "key")
+    held = spread_join(copies, plan, ["key"], "rows", copies.count(), "inner")
     # a cell for a row, not for its doc_id, which many rows may share
     cell = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("cells")).cast("int")
     open_ = cut(held.select("bucket", "key", "cells", cell.alias("cell"), "doc_id", "points", "norm"), "op5-entries")
@@ -137,13 +137,15 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def _answers(facts: DataFrame, keys: DataFrame, chained: DataFrame | None) -> DataFrame:
     order = F.struct(F.negative("points").alias("p"), F.col("doc_id").isNull().alias("none"), "doc_id")
-    single = keys.where("rows = 1").select("key")
-    alone = facts.join(single, "key", "left_semi").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+    # rows of very common keys, which are few, end before the shuffle
+    common = keys.where((F.col("rows") > 1) & (F.col("rows") * (HOT * width(facts.sparkSession)) > facts.count())).select("key")
+    rare = facts.join(F.broadcast(common), "key", "left_anti")
+    alone = rare.join(keys.where("rows = 1").select("key"), "key", "left_semi").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     if chained is None:
         return alone
     groups = chained.groupBy("key", "text_sha256").agg(F.min(order).alias("best"), F.count("*").alias("group_size"))
-    groups = groups.select("key", "text_sha256", F.col("best.doc_id").alias("keep_id"), "group_size")
-    copies = chained.join(groups, ["key", "text_sha256"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    groups = cut(groups.select("key", "text_sha256", F.col("best.doc_id").alias("keep_id"), "group_size"), "op5-groups")
+    copies = spread_join(chained, groups, ["key", "text_sha256"], "group_size", chained.count(), "inner").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return alone.union(copies)
 
 
