@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import cut, ship, unit, width
+from .common import cut, ship, spread_join, unit, width
 from .components import connected_components, hooks
 
 #: Vectors that centroids are fitted on, at most about this many.
@@ -142,14 +142,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PE
     key = F.sha2(F.concat_ws(",", F.transform(x, lambda v: F.hex((v + 0.0).cast("string")))), 256)
     rows = cut(vectors.select("vec_id", "label", "embedding", F.when(good, key).alias("key")), "op6-rows")
     usable = rows.where("key is not null")
-    classes = usable.groupBy("label", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    picked = usable.join(classes.select("label", "key", "rep", "copies"), ["label", "key"]).where("vec_id = rep")
+    classes = cut(usable.groupBy("label", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "op6-classes")
+    total = rows.count()
+    picked = spread_join(usable, classes, ["label", "key"], "copies", total, "inner").where("vec_id = rep")
     unique = cut(picked.select("label", "key", "rep", "copies", "embedding").dropDuplicates(["label", "key"]), "op6-unique")
 
     groups = unique.groupBy("label", F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
     dims = groups.groupBy("dim").agg(F.sum("n").alias("n"), F.max("n").alias("most")).orderBy(F.desc("n"), "dim").first()
-    total, dim, most = (dims["n"], dims["dim"], dims["most"]) if dims else (0, 1, 0)
-    chosen = unique.where((F.size("embedding") == dim) & (unit(F.struct("label", "key"), 6) < SAMPLE / max(total, 1)))
+    among, dim, most = (dims["n"], dims["dim"], dims["most"]) if dims else (0, 1, 0)
+    chosen = unique.where((F.size("embedding") == dim) & (unit(F.struct("label", "key"), 6) < SAMPLE / max(among, 1)))
     # in an order without meaning, as labels take the first centroids
     taken = [r["embedding"] for r in chosen.orderBy(unit(F.struct("label", "key"), 7), "label", "key").limit(2 * SAMPLE).select("embedding").collect()]
     # the bound of the sample bounds the centroids; fuller cells are cut into more blocks
@@ -163,17 +164,19 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PE
     shaped = sized.select("label", "rep", "copies", F.transform("embedding", lambda v: v.cast("double")).alias("embedding"), "cells")
     placed = cut(shaped.mapInArrow(_assign(centres, threshold), schema), "op6-placed")
 
-    cell = [F.col("label"), F.size("embedding").alias("dim"), "home"]
-    sizes = placed.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    slot = F.expr("cast(pmod(xxhash64(rep), blocks) as int)")
-    at_home = placed.withColumn("dim", F.size("embedding")).join(sizes, ["label", "dim", "home"])
-    residents = at_home.select("*", slot.alias("own"), F.col("home").alias("cell"))
-    guests = placed.withColumn("dim", F.size("embedding")).withColumn("cell", F.explode("visits"))
-    guests = guests.join(sizes.withColumnRenamed("home", "cell"), ["label", "dim", "cell"])
-    # guests of a cell fall into blocks as well, as many as they need
-    crowd = guests.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parties"))
-    residents = residents.join(crowd, ["label", "dim", "cell"], "left").withColumn("parties", F.coalesce("parties", F.lit(0)))
-    guests = guests.join(crowd, ["label", "dim", "cell"]).withColumn("own", F.expr("cast(pmod(xxhash64(rep, 1), parties) as int)"))
+    cell = ["label", "dim", "cell"]
+    placed = placed.withColumn("dim", F.size("embedding"))
+    at_home = placed.withColumn("cell", F.col("home"))
+    guests = placed.withColumn("cell", F.explode("visits"))
+    # residents and guests of a cell fall into as many blocks as they need; guests alone meet nobody
+    crowd = at_home.select(*cell, F.lit(1).alias("r")).union(guests.select(*cell, F.lit(0))).groupBy(*cell)
+    crowd = crowd.agg(F.sum("r").alias("residents"), F.sum(1 - F.col("r")).alias("visitors"))
+    blocks = [F.ceil(F.col(n) / BLOCK).cast("int").alias(b) for n, b in (("residents", "blocks"), ("visitors", "parties"))]
+    crowd = cut(crowd.select("*", *blocks), "op6-crowd")
+    most = crowd.agg(F.sum("residents").alias("r"), F.sum("visitors").alias("v")).first()
+    residents = spread_join(at_home, crowd, cell, "residents", most["r"] or 0, "inner").withColumn("own", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
+    guests = spread_join(guests, crowd, cell, "visitors", most["v"] or 0, "inner").where("blocks > 0")
+    guests = guests.withColumn("own", F.expr("cast(pmod(xxhash64(rep, 1), parties) as int)"))
 
     keep = ["rep", "copies", "embedding"]
     inner = residents.select(*keep, "label", "dim", "cell", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
@@ -192,8 +195,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PE
     edges = found.where("a is not null").select("a", "b")
     joined = cut(connected_components(edges, "op6-components"), "op6-joined")
     named = classes.join(links, "rep", "left").join(joined, F.col("rep") == F.col("node"), "left")
-    named = named.select("label", "key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = rows.join(named, ["label", "key"], "left")
+    named = named.select("label", "key", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    out = spread_join(rows, cut(named, "op6-named"), ["label", "key"], "copies", total, idle=F.col("key").isNull())
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 
