@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import FILTERED, bloom_filters, cut, drop_cut, ship
+from .common import FILTERED, bloom_filters, cut, drop_cut, ship, spread_join
 from .components import connected_components
 from .minhash import Scheme, banded, buckets_of, links_of, sketch
 
@@ -141,9 +141,9 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
     drop_cut(wanted)
     # lines that come once and link with nothing stay as they are
     own = F.struct("doc_id", "line_no", "whole")
-    repeats = classes.where("times > 1").select("k1", "k2", own.alias("own"))
-    named = repeats.join(moved, ["k1", "k2"], "full").select("k1", "k2", F.coalesce("top", "own").alias("first"))
-    judged = held.join(named, ["k1", "k2"], "left").select("doc_id", "line_no", "whole", F.coalesce("first", own).alias("top"))
+    repeats = classes.where("times > 1").select("k1", "k2", "times", own.alias("own"))
+    named = repeats.join(moved, ["k1", "k2"], "full").select("k1", "k2", F.coalesce("times", F.lit(1)).alias("times"), F.coalesce("top", "own").alias("first"))
+    judged = spread_join(held, cut(named, "op8-named"), ["k1", "k2"], "times", made.count()).select("doc_id", "line_no", "whole", F.coalesce("first", own).alias("top"))
     alone = made.where("not usable").select("doc_id", "line_no", "whole", own.alias("top"))
     out = judged.union(alone)
     return out.select("doc_id", "line_no", F.col("top.doc_id").alias("first_doc_id"), F.col("top.line_no").alias("first_line_no"), F.expr("top <=> struct(doc_id, line_no, whole)").alias("kept"), "whole")

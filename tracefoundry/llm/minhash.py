@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import cut, drop_cut, narrowed, ship, width
+from .common import cut, drop_cut, narrowed, ship, spread_join, width
 from .components import connected_components, hooks
 
 Shingler = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -63,6 +63,8 @@ WORDS = Scheme("op7", word_shingles, 32, 4)
 CONFIRM_BYTES = 1 << 17
 #: Members compared with a pivot in one task group.
 CELL = 200
+#: Cells that the task with a hub's text copies it to; beyond them, copies are copied.
+FAN = 1024
 #: Documents of a block's side, and bytes of their texts.
 BLOCK_ROWS = 2048
 BLOCK_BYTES = 2 << 20
@@ -164,13 +166,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingler: Shingler, percent: i
     repeated in further cells, so no task holds more than two sets.
     """
     spark = pairs.sparkSession
-    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / CELL).alias("salts"))
-    cells = pairs.join(degree, "a").select("b", F.xxhash64("a", F.expr("pmod(xxhash64(b), salts)")).alias("cell"))
-    hubs = degree.select("a", F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("s"))
-    roles = cells.select(F.col("b").alias("id"), "cell", F.lit(True).alias("member")).union(
-        hubs.select(F.col("a").alias("id"), F.xxhash64("a", F.col("s").cast("long")).alias("cell"), F.lit(False))
-    )
-    placed = roles.join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
+    degree = cut(pairs.groupBy("a").agg(F.count("*").alias("n"), F.ceil(F.count("*") / CELL).alias("salts")), "degree")
+    cells = spread_join(pairs, degree, ["a"], "n", pairs.count(), "inner").select("b", F.xxhash64("a", F.expr("pmod(xxhash64(b), salts)")).alias("cell"))
+    hubs = degree.where(F.col("salts") <= FAN).select("a", F.explode(F.expr("sequence(0L, salts - 1)")).alias("s"))
+    roles = cells.select(F.col("b").alias("id"), "cell", F.lit(True).alias("member")).union(hubs.select(F.col("a").alias("id"), F.xxhash64("a", "s").alias("cell"), F.lit(False)))
+    texts = texts.select(F.col("doc_id").alias("id"), "text")
+    placed = roles.join(texts, "id")
+    large = degree.where(F.col("salts") > FAN)
+    if not large.isEmpty():
+        fans = large.join(texts, F.col("a") == F.col("id")).select("id", "salts", "text", F.explode(F.expr(f"sequence(0L, (salts - 1) div {FAN})")).alias("fan"))
+        fans = fans.repartition(width(spark), "id", "fan").select("id", F.explode(F.expr(f"sequence(fan * {FAN}, least(salts, (fan + 1) * {FAN}) - 1)")).alias("s"), "text")
+        placed = placed.union(fans.select("id", F.xxhash64("id", "s").alias("cell"), F.lit(False).alias("member"), "text"))
     dealt = placed.repartition(width(spark), "cell").sortWithinPartitions("cell", "member", "id")
     return dealt.mapInArrow(_confirm(shingler, percent), "a long, b long")
 
@@ -349,8 +355,8 @@ def _meetings(unsettled: DataFrame, texts: DataFrame, scheme: Scheme, percent: i
     bucket and no others, so the grouping changes the cost and not the links.
     """
     name = scheme.name
-    hubs = unsettled.groupBy("bucket").agg(F.min("doc_id").alias("hub"))
-    edges = unsettled.join(hubs, "bucket").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    hubs = cut(unsettled.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("members")), f"{name}-hubs")
+    edges = spread_join(unsettled, hubs, ["bucket"], "members", unsettled.count(), "inner").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     clusters = cut(connected_components(edges, f"{name}-clusters"), f"{name}-cluster")
     sizes = clusters.groupBy("component").agg(F.count("*").alias("docs"))
     named = clusters.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "docs")
@@ -377,7 +383,7 @@ def links_of(rows: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) ->
     ranked = rows.join(degree, "doc_id").select("bucket", F.struct("degree", F.negative("doc_id").alias("id")).alias("rank"))
     pivots = ranked.groupBy("bucket").agg(F.max("rank").alias("top"), F.count("*").alias("members")).select("bucket", "members", F.negative(F.col("top.id")).alias("pivot"))
     pivots = cut(pivots, f"{name}-pivots")
-    met = rows.join(pivots, "bucket").where("doc_id <> pivot")
+    met = spread_join(rows, pivots, ["bucket"], "members", rows.count(), "inner").where("doc_id <> pivot")
     stars = cut(met.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), f"{name}-stars")
     links = cut(confirmed(stars, texts, scheme.shingler, percent), f"{name}-links")
     drop_cut(stars)
@@ -386,16 +392,19 @@ def links_of(rows: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) ->
     labels = cut(connected_components(links, f"{name}-round1"), f"{name}-labels")
     tagged = met.where("members > 2").join(labels, F.col("doc_id") == F.col("node"), "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     tagged = cut(tagged, f"{name}-tagged")
-    mixed = tagged.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    unsettled = cut(tagged.join(mixed.select("bucket"), "bucket"), f"{name}-unsettled")
-    drop_cut(pivots, labels, tagged)
+    mixed = tagged.groupBy("bucket").agg(F.count("*").alias("others"), F.expr("min(component) < max(component)").alias("mixed"))
+    mixed = cut(mixed, f"{name}-mixed")
+    unsettled = spread_join(tagged, mixed, ["bucket"], "others", tagged.count(), "inner").where("mixed").select(tagged.columns)
+    unsettled = cut(unsettled, f"{name}-unsettled")
+    drop_cut(pivots, labels, tagged, mixed)
 
     members = cut(_meetings(unsettled, texts, scheme, percent).join(texts, "doc_id"), f"{name}-members")
     load = members.groupBy("group").agg(
         F.greatest(F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int").alias("blocks"),
-        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.expr("min(component) < max(component)").alias("mixed"), F.count("*").alias("docs"),
     )
-    dealt = members.join(load.where("lo < hi").select("group", "blocks"), "group").withColumn("own", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
+    load = cut(load, f"{name}-load")
+    dealt = spread_join(members, load, ["group"], "docs", members.count(), "inner").where("mixed").withColumn("own", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
     spread = dealt.select("*", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).select(
         "doc_id", "component", "buckets", "text",
         F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
@@ -422,7 +431,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("whole", F.xxhash64("text"))
     made = cut(texts.mapInArrow(_sketches, "doc_id long, whole long, n_shingles long, k1 long, k2 long, buckets array<long>"), "op7-sketch")
     held = made.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(held.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "op7-classes")
+    classes = cut(held.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("times")), "op7-classes")
     unique = cut(held.join(classes.select("rep").distinct(), held.doc_id == F.col("rep"), "left_semi").groupBy("doc_id").agg(F.max_by("buckets", "whole").alias("buckets")), "op7-unique")
     rows = buckets_of(unique, WORDS)
     asked = cut(rows.select("doc_id").distinct(), "op7-asked")
@@ -434,10 +443,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     joined = cut(connected_components(links, "op7-all"), "op7-joined")
     drop_cut(rows, once)
 
-    named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("component_id"))
-    made = made.drop("buckets", "whole")
-    found = made.join(named, (made.k1 == named.k1) & (made.k2 == named.k2) & (made.n_shingles == named.n) & made.doc_id.isNotNull(), "left")
-    component = F.coalesce("component_id", "doc_id")
+    named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", "times", F.coalesce("component", "rep").alias("component_id"))
+    none = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    found = spread_join(made.drop("buckets", "whole"), cut(named, "op7-named"), ["k1", "k2", "n_shingles"], "times", made.count(), idle=none)
+    component = F.when(~none, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
