@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import cut, spread_join
+
 #: (verdict, host, path), as the contract of op9 gives them
 RULES = [
     ("allow", "org", "/"),
@@ -66,7 +68,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, defa
     parts = parts.withColumn("start", start)
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(max(depth, 1)))), lambda i: F.array_join(F.slice(labels, F.size(labels) - i + 1, i), "."))
-    distinct = parts.select("host", "start").distinct()
+    distinct = cut(parts.groupBy("host", "start").agg(F.count("*").alias("pages")), "op9-distinct")
     keyed = distinct.select("host", "start", F.explode(suffixes).alias("suffix"))
     keyed = keyed.select("host", "start", "suffix", F.explode(F.array(*map(F.lit, lengths or [0]))).alias("n")).where(F.char_length("start") >= F.col("n"))
     digest = F.sha2(F.concat_ws("\n", F.col("n").cast("string"), F.concat("suffix", F.expr("substring(start, 1, n)"))), 256)
@@ -76,7 +78,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, defa
     met = keyed.join(table, "short").where(F.col("full") == F.col("digest"))
     best = met.groupBy("host", "start").agg(F.max(F.struct("length", "rule", "verdict")).alias("best"))
     best = best.select("host", "start", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
-    return parts.join(best, ["host", "start"], "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    answers = cut(distinct.join(best, ["host", "start"], "left"), "op9-answers")
+    return spread_join(parts, answers, ["host", "start"], "pages", pages.count()).select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
 ORACLE = """
