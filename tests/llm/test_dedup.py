@@ -8,8 +8,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tracefoundry.llm import embed, exact, lines, minhash, mixing, textkit, trie
+from tracefoundry.llm import common, embed, exact, lines, minhash, mixing, textkit, trie
 from tracefoundry.llm.components import connected_components
 
 from .cases import DOCS, components, documents, frame, prose
@@ -46,6 +47,21 @@ def test_exact_chains_collisions(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_exact(rows)
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("times", [1, 5, 4000])
+def test_spread_join_meets_a_plain_join(spark, tmp_path, how, times):
+    """One key of ``times`` rows, keys without a partner, null keys, null values."""
+    keys = ["hot"] * times + [f"k{i % 300}" for i in range(900)] + [None] * 700
+    spark.createDataFrame(list(enumerate(keys)), "at long, key string").write.parquet(f"{tmp_path}/rows")
+    one = [("hot", times, None), *((f"k{i}", 3, i if i % 2 else None) for i in range(0, 300, 4))]
+    spark.createDataFrame(one, "key string, times long, value long").write.parquet(f"{tmp_path}/one")
+    rows, one = spark.read.parquet(f"{tmp_path}/rows"), spark.read.parquet(f"{tmp_path}/one")
+    want = sorted(map(repr, rows.join(one, ["key"], how).select("at", "key", "times", "value").collect()))
+    for idle in (None, F.col("key").isNull()):
+        got = common.spread_join(rows, one, ["key"], "times", len(keys), how, idle)
+        assert sorted(map(repr, got.select("at", "key", "times", "value").collect())) == want
+
+
 def test_directory_splits_and_doubles():
     slots = exact.directory({0: 3, 1: 3, 7: 1}, capacity=3, max_depth=3)
     assert len(slots) == 8
@@ -81,9 +97,11 @@ def test_minhash(spark, seed):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(((i, n, c, True if i is None else k) for i, n, c, k in brute_near(rows)), key=repr)
 
 
-def test_minhash_hub_and_borderline_group(spark, monkeypatch):
+@pytest.mark.parametrize("fan", [1, 3, 1024])
+def test_minhash_hub_and_borderline_group(spark, monkeypatch, fan):
     """Copies of one text that reach the threshold with it but not with each other, more than a cell."""
     monkeypatch.setattr(minhash, "CELL", 4)
+    monkeypatch.setattr(minhash, "FAN", fan)
     rng = random.Random(3)
     base = prose(rng, 100).split()
     rows = [(500, " ".join(base))]
