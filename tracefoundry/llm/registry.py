@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, clusters, embed, exact, minhash, urls
+from . import chat, clusters, embed, exact, minhash, repair, urls
 from .common import read
 from .lines import fuzzy_lines
 from .mixing import mix
@@ -59,6 +59,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(read(spark, sf_dir, "conversations")))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster_vectors(read(spark, sf_dir, "embeddings"))
 
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_line_dedup,
         op9_url_filters,
         op10_token_counts,
+        op11_conversation_repair,
         op13_centroid_clustering,
     )
     return {f.__name__: f for f in found}
@@ -88,5 +93,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_embedding_near_dedup": embed.ORACLE,
         "op7_minhash_near_dedup": minhash.ORACLE,
         "op9_url_filters": urls.ORACLE,
+        "op11_conversation_repair": repair.ORACLE,
         "op13_centroid_clustering": clusters.ORACLE,
     }
