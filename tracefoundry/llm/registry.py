@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, clusters, embed, exact, minhash, repair, urls
+from . import chat, clusters, embed, exact, minhash, repair, suffixes, urls
 from .common import read
 from .lines import fuzzy_lines
 from .mixing import mix
@@ -63,6 +63,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(read(spark, sf_dir, "conversations")))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.cut_repeats(read(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster_vectors(read(spark, sf_dir, "embeddings"))
 
@@ -80,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_url_filters,
         op10_token_counts,
         op11_conversation_repair,
+        op12_suffix_dedup,
         op13_centroid_clustering,
     )
     return {f.__name__: f for f in found}
@@ -94,5 +99,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_minhash_near_dedup": minhash.ORACLE,
         "op9_url_filters": urls.ORACLE,
         "op11_conversation_repair": repair.ORACLE,
+        "op12_suffix_dedup": suffixes.ORACLE,
         "op13_centroid_clustering": clusters.ORACLE,
     }
