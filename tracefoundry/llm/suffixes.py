@@ -48,9 +48,9 @@ from .common import cut, drop_cut, setting, shared_dir, ship, width
 SPAN = 50
 GRAM = 20
 BACK = SPAN - GRAM
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: Windows that are hashed at once.
-SLICE = 1 << 19
+SLICE = 1 << 17
 #: Contexts of an anchor string beyond which its windows are dealt one by one.
 HOT = 2_000
 #: Anchors, and contexts, aimed at for one part.
@@ -58,8 +58,8 @@ GRAM_PART = 1_000_000
 PART = 200_000
 HASH_BITS = 48
 _PLACE = np.uint64((1 << 20) - 1)
-#: Bytes of blocks that go to a Python worker at once.
-BATCH = str(16 << 20)
+#: Blocks that a scan decodes and that go to a Python worker at once.
+BATCH = "4"
 
 
 class Contexts(NamedTuple):
@@ -483,13 +483,15 @@ def covered_bytes(b: Block, made: Run, bits: np.ndarray) -> np.ndarray:
     return np.cumsum(edge, dtype=np.int8)[: len(b.data)] > 0
 
 
-def _bucketed(df: DataFrame, name: str) -> tuple[DataFrame, str, str]:
-    """``df`` as a table bucketed by block in the shared folder, with its name and path."""
+def _bucketed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a table bucketed by block in the shared folder, and its name."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
     df.write.option("path", path).option("compression", "zstd").bucketBy(width(spark), "block").saveAsTable(table, format="parquet")
-    return spark.table(table), table, path
+    out = spark.table(table)
+    out._cut_path = path
+    return out, table
 
 
 def _of_block(rows: DataFrame, value: str) -> DataFrame:
@@ -512,15 +514,14 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_blocks, "ids array<long>, sizes array<long>, data binary")
-    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH):
-        blocks, table, path = _bucketed(packed.withColumn("block", F.monotonically_increasing_id()), "op12-blocks")
-        try:
+    blocks, table = _bucketed(packed.withColumn("block", F.monotonically_increasing_id()), "op12-blocks")
+    batches = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+    try:
+        with setting(spark, batches[0], BATCH), setting(spark, batches[1], BATCH):
             return _cut_blocks(spark, blocks)
-        finally:
-            spark.sql(f"DROP TABLE {table}")
-            dropped = blocks
-            dropped._cut_path = path
-            drop_cut(dropped)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+        drop_cut(blocks)
 
 
 def _cut_blocks(spark: SparkSession, blocks: DataFrame) -> DataFrame:
