@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from ..functions.exprs import record_id
+from ..functions.exprs import parse_iso, record_id
 from ..functions.trading import symbol_in
+from ..operators.replies import threads
 from ..schemas import RAW_RECORD
 
 PLATFORMS = ("twitter", "telegram", "discord")
@@ -121,6 +122,57 @@ class ChatLogCollector(Collector):
         return chains.select(*raw_record(self.source_name, text, symbol_in(text), F.lit(None), F.create_map(F.lit("conv_id"), F.col("conv_id").cast("string"), F.lit("platform"), F.lit(self.platform))))
 
 
+#: Fields of the two platforms' exports; numbers and texts as they come, a text may be an array of parts.
+TELEGRAM = "messages array<struct<id: long, type: string, date: string, from: string, text: variant, reply_to_message_id: long>>"
+DISCORD = "messages array<struct<id: string, timestamp: string, author: struct<name: string>, content: string, reference: struct<messageId: string>>>"
+
+
+def _plain(text: Column) -> Column:
+    """A message's text: itself, or its parts, each a text or an object with one."""
+    parts = F.transform(F.try_variant_get(text, "$", "array<variant>"), lambda p: F.coalesce(F.try_variant_get(p, "$.text", "string"), F.when(F.schema_of_variant(p) == "STRING", F.try_variant_get(p, "$", "string")), F.lit("")))
+    return F.when(F.schema_of_variant(text).startswith("ARRAY"), F.array_join(parts, "")).otherwise(F.try_variant_get(text, "$", "string"))
+
+
+def read_chat_export(spark: SparkSession, path: str, platform: str) -> DataFrame:
+    """(chat, id, reply_to, ts, author, text) of the messages in JSON exports; a file is a chat.  Service messages are left out."""
+    if platform not in PLATFORMS[1:]:
+        raise ValueError(f"platform has to be one of {PLATFORMS[1:]}")
+    files = spark.read.schema(TELEGRAM if platform == "telegram" else DISCORD).json(path, multiLine=True, recursiveFileLookup=True)
+    rows = files.select(F.col("_metadata.file_path").alias("chat"), F.explode("messages").alias("m"))
+    if platform == "telegram":
+        rows = rows.where("m.type = 'message'")
+        return rows.select("chat", F.col("m.id").cast("string").alias("id"), F.col("m.reply_to_message_id").cast("string").alias("reply_to"), parse_iso(F.col("m.date")).alias("ts"), F.col("m.from").alias("author"), _plain(F.col("m.text")).alias("text"))
+    return rows.select("chat", "m.id", F.col("m.reference.messageId").alias("reply_to"), parse_iso(F.col("m.timestamp")).alias("ts"), F.col("m.author.name").alias("author"), F.col("m.content").alias("text"))
+
+
+class ReplyChainCollector(Collector):
+    """Chat messages (chat, id, reply_to, ts, author, text): a thread of answers, in reading order, is one record.
+
+    A line is indented by what it answers to.  The record has the first
+    message's time and the first symbol named in the thread.
+    """
+
+    source_name = "chat_log"
+
+    def __init__(self, messages: DataFrame | None = None, export_path: str | None = None, platform: str = "telegram"):
+        if platform not in PLATFORMS[1:]:
+            raise ValueError(f"platform has to be one of {PLATFORMS[1:]}")
+        self.messages, self.export_path, self.platform = messages, export_path, platform
+
+    def collect(self, spark: SparkSession) -> DataFrame:
+        rows = read_chat_export(spark, self.export_path, self.platform) if self.messages is None else self.messages
+        # ids are a chat's own
+        named = lambda c: F.when(F.col(c).isNotNull(), F.concat_ws("\x1f", "chat", F.col(c).cast("string")))
+        rows = rows.select(named("id").alias("id"), named("reply_to").alias("reply_to"), "ts", "author", "text").where("id is not null")
+        rows = rows.groupBy("id").agg(F.min_by(F.struct("reply_to", "ts", "author", "text"), F.struct("ts", "reply_to", "author", "text")).alias("m")).select("id", "m.*")
+        met = rows.join(threads(rows), "id")
+        line = F.concat(F.repeat(F.lit("  "), F.col("depth").cast("int")), F.concat_ws(": ", "author", "text"))
+        chains = met.groupBy("root").agg(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))).alias("lines"), F.min_by("ts", "place").alias("ts"), F.count("*").alias("n"))
+        text = F.array_join(F.col("lines.line"), "\n")
+        facts = F.create_map(F.lit("root"), F.substring_index("root", "\x1f", -1), F.lit("messages"), F.col("n").cast("string"), F.lit("platform"), F.lit(self.platform))
+        return chains.select(*raw_record(self.source_name, text, symbol_in(text), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX"), facts))
+
+
 class OnChainCollector(Collector):
     """Round trips as records without text; results are in the metadata."""
 
