@@ -48,7 +48,7 @@ from .common import cut, drop_cut, setting, shared_dir, ship, width
 SPAN = 50
 GRAM = 20
 BACK = SPAN - GRAM
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Windows that are hashed at once.
 SLICE = 1 << 17
 #: Contexts of an anchor string beyond which its windows are dealt one by one.
@@ -103,7 +103,8 @@ def contexts(data: np.ndarray, offsets: np.ndarray) -> Contexts:
         at = anchor[starts]
         whole = tk.spans(total, starts, stops + SPAN) ^ tk.mix((at - starts).astype(np.uint64) + np.uint64(1))
         doc = np.searchsorted(offsets, starts + low, "right") - 1
-        found.append((at + low, starts + low, stops + low, doc, gram[at] >> np.uint64(64 - HASH_BITS), whole))
+        # anchors have small hashes, so these are mixed again
+        found.append((at + low, starts + low, stops + low, doc, tk.mix(gram[at]) >> np.uint64(64 - HASH_BITS), whole))
     if not found:
         none = np.zeros(0, np.int64)
         return Contexts(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64))
