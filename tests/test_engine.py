@@ -226,11 +226,11 @@ def test_expander(spark, tmp_path):
     path = tmp_path / "posts.json"
     path.write_text(json.dumps(POSTS[:2]))
     ideas, _ = trade_ideas(read_posts(spark, str(path)))
-    told = transform.ideas_to_examples(ideas, lambda batch: batch["symbol"] + " expanded").collect()
+    told = transform.ideas_to_examples(ideas, lambda r: r["symbol"] + " expanded").collect()
     assert {r["reasoning"] for r in told} == {"BTC/USDT expanded", "DOGE/USDT expanded"}
 
-    def broken(batch):
-        raise RuntimeError("no network")
+    def broken(record):
+        raise ConnectionError("no network")
 
     assert all("Market Structure" in r["reasoning"] for r in transform.ideas_to_examples(ideas, broken).collect())
 
@@ -389,7 +389,7 @@ def test_planned_scores(spark):
     with pytest.raises(ValueError):
         scoring.judged_quality(F.lit(1), F.lit(1), F.lit(""), F.lit(1), {"outcome": 2, "consistency": 0, "source_tier": 0, "specificity": 0})
     rows = spark.createDataFrame([("c", "r", ("LONG",))], "context string, reasoning string, decision struct<direction:string>")
-    assert scoring.judge_scores(rows, lambda c, r, d: [4] * len(c)).first()["consistency"] == 4
+    assert scoring.judge_scores(rows, lambda r: 4 if r["direction"] == "LONG" else None).first()["consistency"] == 4
     assert stats.distribution(df, F.col("o")).first()["n"] == 2
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rounded, word_count
+from .answers import ask, call_each
 
 # fixed values: source tiers, verdict scores and weights of the live score
 SOURCE_TIER = {"own_journal": 1.0, "kol_post": 0.7, "research_note": 0.75, "chat_log": 0.45, "on_chain": 0.60, "synthetic": 0.20}
@@ -35,6 +37,7 @@ def specificity(entry: Column, stop: Column, target: Column) -> Column:
     return (entry.cast("int") + stop.cast("int") + target.cast("int")) / F.lit(3.0)
 
 
+# fixed values: the steps of the reasoning's length
 def depth(text: Column) -> Column:
     words = word_count(F.coalesce(text, F.lit("")))
     return F.when(words < 20, 0.1).when(words < 50, 0.4).when(words <= 400, 1.0).when(words <= 600, 0.8).otherwise(0.6)
@@ -68,14 +71,18 @@ def judged_quality(outcome: Column, consistency: Column, source: Column, specifi
     return rounded(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)), 4)
 
 
-def judge_scores(examples: DataFrame, judge) -> DataFrame:
-    """``examples`` with ``consistency``, an injected judge's 1 to 5 per Arrow batch; null where it fails."""
-    @F.pandas_udf("int")
-    def run(context: pd.Series, reasoning: pd.Series, direction: pd.Series) -> pd.Series:
-        try:
-            score = pd.Series(judge(context, reasoning, direction), index=context.index)
-        except Exception:
-            score = pd.Series([None] * len(context), index=context.index)
-        return score.where(score.between(1, 5)).astype("Int32")
+def judge_scores(examples: DataFrame, judge: Callable[[dict], int | None], kept: str | None = None, name: str = "judge") -> DataFrame:
+    """``examples`` with ``consistency``, an injected judge's 1 to 5 of each; null where it fails or says anything else.
+
+    ``judge`` gets one record (context, reasoning, direction) at a time.  With
+    ``kept``, a Parquet path, scores are kept there under ``name`` and asked for once.
+    """
+    record = ["context", "reasoning", "__direction"]
+    rows = examples.withColumn("__direction", F.col("decision.direction"))
+
+    def call(r: dict) -> int | None:
+        return judge({"context": r["context"], "reasoning": r["reasoning"], "direction": r["__direction"]})
 
-    return examples.withColumn("consistency", run("context", "reasoning", F.col("decision.direction")))
+    made = call_each(rows, record, call, "consistency", "int") if kept is None else ask(rows, record, call, kept, name, "consistency", "int")
+    score = F.col("consistency")
+    return made.withColumn("consistency", F.when(score.between(1, 5), score)).drop("__direction", "consistency_error")

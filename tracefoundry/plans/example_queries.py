@@ -144,7 +144,7 @@ def idea_decisions(spark, sf_dir):
 @query(f"WITH {IDEAS} SELECT place, CASE WHEN symbol = 'UNKNOWN' THEN {REASONING} ELSE trim('read: ' || symbol) END AS reasoning FROM ideas")
 def idea_expander(spark, sf_dir):
     """An injected expander's text, the template where it gives none."""
-    made = transform.ideas_to_examples(ideas(spark, sf_dir), lambda batch: batch["symbol"].map(lambda s: None if s == "UNKNOWN" else f"read: {s}"))
+    made = transform.ideas_to_examples(ideas(spark, sf_dir), lambda r: None if r["symbol"] == "UNKNOWN" else f"read: {r['symbol']}")
     return made.select(F.col("ord.row").alias("place"), "reasoning")
 
 
@@ -352,9 +352,9 @@ SELECT doc_id, consistency::INT AS consistency, coalesce(consistency >= 3, false
   + 0.20::DOUBLE * CASE kind WHEN 'own_journal' THEN 1.0::DOUBLE WHEN 'research_note' THEN 0.8::DOUBLE WHEN 'kol_post' THEN 0.6::DOUBLE WHEN 'chat_log' THEN 0.4::DOUBLE ELSE 0.2::DOUBLE END
   + 0.15::DOUBLE * specificity, 0.0::DOUBLE), 1.0::DOUBLE) * 10000) AS BIGINT) AS score_e4 FROM judged""")
 def judged_scores(spark, sf_dir):
-    """An injected judge by Arrow batch, the planned score, and the judge's filter."""
+    """An injected judge of single records, the planned score, and the judge's filter."""
     rows = rated(spark, sf_dir).withColumn("context", F.col("doc_id").cast("string")).withColumn("reasoning", F.lit("")).withColumn("decision", F.struct(F.lit("LONG").alias("direction")))
-    rows = scoring.judge_scores(rows, lambda context, reasoning, direction: context.astype("int64") % 7)
+    rows = scoring.judge_scores(rows, lambda r: int(r["context"]) % 7)
     score = scoring.judged_quality(scoring.outcome_score(F.col("verdict")), F.col("consistency"), F.col("kind"), F.col("specificity"))
     good = dataset.good_judgement(rows).select("doc_id", F.lit(True).alias("good"))
     out = rows.select("doc_id", "consistency", F.round(score * 10000).cast("long").alias("score_e4")).join(good, "doc_id", "left")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import replies
+from ..operators import answers, replies
+from ..shared import folder
 from .queries import query, table
 
 #: One message in eleven begins a thread, one in thirteen answers message 0, some answer what is not there.
@@ -24,3 +25,20 @@ SELECT id, root, depth, row_number() OVER (PARTITION BY root ORDER BY path) - 1
 def reply_threads(spark, sf_dir):
     messages = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts", F.expr(REPLY_TO).alias("reply_to"))
     return replies.threads(messages)
+
+
+def _service(record: dict) -> str:
+    """Stands in for a service: it refuses one status."""
+    if record["o_orderstatus"] == "P":
+        raise PermissionError("refused")
+    return f"{record['o_orderpriority']} / {record['o_orderstatus']}"
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority || ' / ' || o_orderstatus END AS answer,
+  CASE WHEN o_orderstatus = 'P' THEN 'PermissionError: refused' END AS answer_error FROM orders""")
+def kept_answers(spark, sf_dir):
+    """One call for each different request, whatever the number of its orders; a refused request is null in its own rows."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    limits = answers.Limits(attempts=2, pause=0.01)
+    made = answers.ask(rows, ["o_orderpriority", "o_orderstatus"], _service, folder(spark, "kept-answers"), "service-1", limits=limits)
+    return made.select("o_orderkey", "answer", "answer_error")
