@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import answers, replies
+from ..operators import answers, pairing, replies
 from ..shared import folder
 from .queries import query, table
 
@@ -42,3 +42,24 @@ def kept_answers(spark, sf_dir):
     limits = answers.Limits(attempts=2, pause=0.01)
     made = answers.ask(rows, ["o_orderpriority", "o_orderstatus"], _service, folder(spark, "kept-answers"), "service-1", limits=limits)
     return made.select("o_orderkey", "answer", "answer_error")
+
+
+@query("""
+WITH RECURSIVE lists AS (
+  SELECT user_id % 40 AS symbol, list({'t': epoch_us(ts), 'side': CASE event_type WHEN 'purchase' THEN 0 ELSE 1 END, 'id': event_id} ORDER BY ts, event_type <> 'purchase', event_id) AS l
+  FROM events WHERE event_type IN ('purchase', 'error') GROUP BY 1
+), steps AS (
+  SELECT symbol, l, NULL::BIGINT AS trade_id, NULL::BIGINT AS entry_id, NULL::BIGINT AS apart FROM lists
+  UNION ALL
+  SELECT symbol, list_concat(l[1:b.i - 1], l[b.i + 2:]), CASE l[b.i].side WHEN 0 THEN l[b.i].id ELSE l[b.i + 1].id END, CASE l[b.i].side WHEN 1 THEN l[b.i].id ELSE l[b.i + 1].id END, b.d
+  FROM (SELECT symbol, l, list_min(list_transform(list_filter(range(1, len(l)), lambda i: l[i].side <> l[i + 1].side AND l[i + 1].t - l[i].t <= 3600000000), lambda i: {'d': l[i + 1].t - l[i].t, 'i': i})) AS b FROM steps)
+  WHERE b IS NOT NULL
+)
+SELECT symbol, trade_id, entry_id, apart FROM steps WHERE apart IS NOT NULL
+""")
+def one_to_one_pairs(spark, sf_dir):
+    """Purchases (trades) and errors (entries) of a group of users, each at most once."""
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 40).alias("symbol"), "ts", "event_type")
+    trades = rows.where("event_type = 'purchase'").withColumnRenamed("event_id", "trade_id")
+    entries = rows.where("event_type = 'error'").withColumnRenamed("event_id", "entry_id")
+    return pairing.pair_one_to_one(trades, entries, "symbol", 3600, "trade_id", "entry_id")
