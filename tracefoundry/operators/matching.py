@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import micros
 from ..functions.trading import verdict
+from .netting import STRETCH, stretch_of
 
 
 def _buckets(at: Column, width: int) -> Column:
@@ -30,23 +31,30 @@ def nearest_within(left: DataFrame, right: DataFrame, key: str, seconds: int, le
     return left.join(best, left_id, "left")
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, value: Column, order: list[str], forward: bool = False) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: str, value: Column, order: list[str], forward: bool = False, seconds: int | None = STRETCH) -> DataFrame:
     """``left`` with ``matched``, ``value`` of the last right row at or before it (``forward``: first at or after).
 
-    Both sides are merged in one window per key, so each row is sorted once
-    and no pairs arise.  Right rows come first among equal times.
+    Both sides are merged in windows, so each row is sorted once and no pairs
+    arise.  Right rows come first among equal times.  The first column of
+    ``order`` is the time: windows are over a key's stretches of ``seconds``,
+    and what a stretch has from those before it comes from a scan of one row
+    for each, so a busy key is many tasks.  None: one window for each key.
     """
-    both = left.select(F.lit(1).alias("__side"), key, *order, F.struct(*left.columns).alias("__row"), F.lit(None).cast(right.select(value).dtypes[0][1]).alias("__value"))
-    other = right.select(F.lit(0).alias("__side"), key, *order, F.lit(None).cast(both.schema["__row"].dataType).alias("__row"), value.alias("__value"))
-    from pyspark.sql import Window
-
+    kind = right.select(value).dtypes[0][1]
+    cut = lambda rows: rows.withColumn("__stretch", F.lit(0).cast("long") if seconds is None else stretch_of(F.col(order[0]), seconds))
+    both = cut(left).select(F.lit(1).alias("__side"), key, "__stretch", *order, F.struct(*left.columns).alias("__row"), F.lit(None).cast(kind).alias("__value"))
+    other = cut(right).select(F.lit(0).alias("__side"), key, "__stretch", *order, F.lit(None).cast(both.schema["__row"].dataType).alias("__row"), value.alias("__value"))
     merged = both.unionByName(other)
-    if forward:
-        w = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order], "__side").rowsBetween(Window.unboundedPreceding, 0)
-    else:
-        w = Window.partitionBy(key).orderBy(*order, "__side").rowsBetween(Window.unboundedPreceding, 0)
+    way = [F.desc(c) for c in order] if forward else list(order)
+    w = Window.partitionBy(key, "__stretch").orderBy(*way, "__side").rowsBetween(Window.unboundedPreceding, 0)
     found = F.last(F.when(F.col("__side") == 0, F.col("__value")), ignorenulls=True).over(w)
-    return merged.withColumn("matched", found).where("__side = 1").select("__row.*", "matched")
+    rows = merged.withColumn("matched", found)
+    if seconds is not None:
+        told = merged.where(F.col(key).isNotNull()).groupBy(key, "__stretch").agg((F.min_by if forward else F.max_by)("__value", F.when(F.col("__value").isNotNull(), F.struct(*order))).alias("__own"))
+        along = Window.partitionBy(key).orderBy(F.desc("__stretch") if forward else "__stretch").rowsBetween(Window.unboundedPreceding, -1)
+        past = told.select(key, "__stretch", F.last("__own", ignorenulls=True).over(along).alias("__past"))
+        rows = rows.join(past, [key, "__stretch"], "left").withColumn("matched", F.coalesce("matched", "__past"))
+    return rows.where("__side = 1").select("__row.*", "matched")
 
 
 def label_outcomes(records: DataFrame, trades: DataFrame, seconds: int, win: float = 1.0, loss: float = -1.0) -> DataFrame:

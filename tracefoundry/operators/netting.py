@@ -6,7 +6,12 @@ side, F flips to the other side, which closes one leg and opens the next with
 its full quantity.  A leg number is the running count of O and F.  An A fill
 belongs to the leg it stays in, also when it reduces it.
 
-One exchange by symbol serves the windows and the aggregation by leg.
+Of a symbol with up to BUSY fills, one exchange by symbol serves the windows
+and the aggregation by leg.  With a busier one, the same columns come from a
+segmented scan: each symbol's time is cut into stretches, whose summaries
+(quantity, legs begun, last turn) compose; a scan over a row per symbol and
+stretch carries what was before each, and the stretches finish alone, so no
+task gets all fills of a symbol.
 """
 
 from __future__ import annotations
@@ -16,20 +21,52 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import iso_text, micros, rounded
 from ..functions.trading import verdict
+from ..shared import written
 
 POSITION = "decimal(38,10)"
+#: Fills of a symbol that one task sorts.
+BUSY = 5_000_000
+#: Seconds of a stretch of a busy symbol's time.
+STRETCH = 86_400
 
 
-def _by_symbol(order: list[str]):
-    return Window.partitionBy("symbol").orderBy(*order)
+def stretch_of(time: Column, seconds: int) -> Column:
+    """Number of the stretch of time; rows without a time are before all others."""
+    return F.coalesce(F.floor(micros(time) / (seconds * 1_000_000)), F.lit(-(2**63)).cast("long"))
 
 
-def running_position(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal")) -> DataFrame:
-    """``fills`` with ``net``, ``prev`` (positions after and before), exact to ten decimals."""
-    w = _by_symbol(list(order))
-    qty = F.when(F.col("side") == "buy", F.col("qty")).otherwise(-F.col("qty")).cast(POSITION)
-    netted = fills.withColumn("net", F.sum(qty).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return netted.withColumn("prev", F.coalesce(F.lag("net").over(w), F.lit(0).cast(POSITION)))
+def is_busy(fills: DataFrame) -> bool:
+    """Whether a symbol has more fills than one task should sort.  It reads the symbols once."""
+    return not fills.groupBy("symbol").agg(F.count("*").alias("n")).where(F.col("n") > BUSY).isEmpty()
+
+
+def _signed() -> Column:
+    return F.when(F.col("side") == "buy", F.col("qty")).otherwise(-F.col("qty")).cast(POSITION)
+
+
+def _past(parts: DataFrame, **carried: Column) -> DataFrame:
+    """For each symbol and stretch of ``parts``, what ``carried`` says of the symbol's stretches before it."""
+    before = Window.partitionBy("symbol").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select("symbol", "__stretch", *(c.over(before).alias(n) for n, c in carried.items()))
+
+
+def running_position(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal"), busy: bool | None = None, seconds: int = STRETCH) -> DataFrame:
+    """``fills`` with ``net``, ``prev`` (positions after and before), exact to ten decimals.
+
+    ``busy`` chooses the segmented scan (None: if a symbol has more than BUSY
+    fills); the first column of ``order`` is the time.
+    """
+    if not (is_busy(fills) if busy is None else busy):
+        w = Window.partitionBy("symbol").orderBy(*order)
+        netted = fills.withColumn("net", F.sum(_signed()).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        return netted.withColumn("prev", F.coalesce(F.lag("net").over(w), F.lit(0).cast(POSITION)))
+    cut = fills.withColumn("__stretch", stretch_of(F.col(order[0]), seconds))
+    sums = cut.groupBy("symbol", "__stretch").agg(F.sum(_signed()).cast(POSITION).alias("moved"))
+    past = _past(sums, __past=F.sum("moved"))
+    w = Window.partitionBy("symbol", "__stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    zero = F.lit(0).cast(POSITION)
+    inside = cut.join(past, ["symbol", "__stretch"]).withColumn("net", (F.coalesce("__past", zero) + F.sum(_signed()).over(w)).cast(POSITION))
+    return inside.withColumn("prev", (F.col("net") - F.coalesce(_signed(), zero)).cast(POSITION)).select(*fills.columns, "net", "prev")
 
 
 def event_of(prev: Column, net: Column) -> Column:
@@ -41,13 +78,25 @@ def event_of(prev: Column, net: Column) -> Column:
     )
 
 
-def leg_events(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal")) -> DataFrame:
-    """``fills`` with ``ev``, ``leg_id`` and ``last_turn``, the symbol's last event before that was no A."""
-    w = _by_symbol(list(order))
-    marked = running_position(fills, order).withColumn("ev", event_of(F.col("prev"), F.col("net")))
-    starts = F.sum(F.when(F.col("ev").isin("O", "F"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    turn = F.last(F.when(F.col("ev") != "A", F.col("ev")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return marked.withColumn("leg_id", starts).withColumn("last_turn", turn)
+def leg_events(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal"), busy: bool | None = None, seconds: int = STRETCH) -> DataFrame:
+    """``fills`` with ``ev``, ``leg_id`` and ``last_turn``, the symbol's last event before that was no A.  ``busy``: as in :func:`running_position`."""
+    busy = is_busy(fills) if busy is None else busy
+    marked = running_position(fills, order, busy, seconds).withColumn("ev", event_of(F.col("prev"), F.col("net")))
+    begins = F.when(F.col("ev").isin("O", "F"), 1).otherwise(0)
+    turns = F.when(F.col("ev") != "A", F.col("ev"))
+    if not busy:
+        w = Window.partitionBy("symbol").orderBy(*order)
+        turn = F.last(turns, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return marked.withColumn("leg_id", F.sum(begins).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("last_turn", turn)
+    # the positions are read twice, so they are written
+    cut = written(marked.withColumn("__stretch", stretch_of(F.col(order[0]), seconds)), "netting-positions")
+    sums = cut.groupBy("symbol", "__stretch").agg(F.sum(begins).alias("begun"), F.max_by("ev", F.when(turns.isNotNull(), F.struct(*order))).alias("turned"))
+    past = _past(sums, __begun=F.sum("begun"), __turned=F.last("turned", ignorenulls=True))
+    w = Window.partitionBy("symbol", "__stretch").orderBy(*order)
+    met = cut.join(past, ["symbol", "__stretch"])
+    leg = F.coalesce("__begun", F.lit(0)) + F.sum(begins).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    turn = F.coalesce(F.last(turns, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "__turned")
+    return met.withColumn("leg_id", leg).withColumn("last_turn", turn).select(*marked.columns, "leg_id", "last_turn")
 
 
 def _roles(events: DataFrame) -> DataFrame:
@@ -64,8 +113,8 @@ def _roles(events: DataFrame) -> DataFrame:
     return events.select("*", F.inline(parts))
 
 
-def legs(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal"), with_fills: bool = False) -> DataFrame:
-    """Unrounded measures of every closed leg; legs still open at the end give no row."""
+def legs(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal"), with_fills: bool = False, busy: bool | None = None) -> DataFrame:
+    """Unrounded measures of every closed leg; legs still open at the end give no row.  ``busy``: as in :func:`running_position`."""
     first = F.struct(*order)
     opens, closes = F.col("role") == "open", F.col("role") == "close"
     aggs = [
@@ -83,7 +132,7 @@ def legs(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal"), with_fill
     if with_fills:
         fill = F.struct(*order, *[c for c in fills.columns if c not in order])
         aggs += [F.array_sort(F.collect_list(F.when(r, fill))).alias(n) for r, n in ((opens, "fills_open"), (closes, "fills_close"))]
-    made = _roles(leg_events(fills, order)).groupBy("symbol", "leg").agg(*aggs).where("closers = 1")
+    made = _roles(leg_events(fills, order, busy)).groupBy("symbol", "leg").agg(*aggs).where("closers = 1")
     entry = F.when(F.col("qty") == 0, 0.0).otherwise(F.col("value") / F.when(F.col("qty") != 0, F.col("qty")))
     # a single closing fill: its VWAP is price * qty / qty, zero without quantity
     closing = F.when(F.col("close_qty") == 0, 0.0).otherwise(F.col("close_price") * F.col("close_qty") / F.when(F.col("close_qty") != 0, F.col("close_qty")))
@@ -126,8 +175,7 @@ def first_seen(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal")) ->
 
 def open_positions(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal")) -> DataFrame:
     """Positions that are still open at the end, which :func:`round_trips` leaves out."""
-    netted = running_position(fills, order)
-    return netted.groupBy("symbol").agg(F.max_by("net", F.struct(*order)).alias("net")).where("net <> 0")
+    return fills.groupBy("symbol").agg(F.sum(_signed()).cast(POSITION).alias("net")).where("net <> 0")
 
 
 def average_cost_trips(fills: DataFrame, order: tuple[str, ...] = ("ts", "ordinal")) -> DataFrame:
