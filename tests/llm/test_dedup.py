@@ -178,12 +178,16 @@ def test_embeddings(spark, monkeypatch, per_cell):
     rows += [(k, None, 1), (k + 1, [], 1), (k + 2, [0.0] * 16, 1), (k + 3, [float("nan")] * 16, 1), (k + 4, [float("inf")] + [1.0] * 15, 1), (k + 5, rows[0][1], None), (k + 6, [1.0, None] + [1.0] * 14, 0), (k + 7, [1.0, 2.0], 0), (k + 8, [2.0, 4.0], 0), (None, rows[0][1], 0)]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, label int, rep string, links int").repartition(3)
     got = sorted((tuple(r) for r in embed.near_vectors(df, per_cell=per_cell).collect()), key=repr)
-    want = brute_vectors(rows)
-    if per_cell == 2000:
-        assert got == want
-    else:
-        found, there = sum(r[1] for r in got), sum(r[1] for r in want)
-        assert 0.95 * there <= found <= there
+    assert got == brute_vectors(rows)
+
+
+def test_embeddings_of_any_magnitude(spark):
+    """Squares of the largest and the smallest numbers neither overflow nor vanish."""
+    rows = [(0, [1e200, 1e200], 0), (1, [1e200, 1.01e200], 0), (2, [1e-200, 1e-200], 1), (3, [1.0, 0.0], 1), (4, [5e-300, 5e-300], 1), (5, [1e308, -1e308], 2), (6, [1e-308, 1e-308], 2)]
+    got = embed.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 0, True), (1, 1, 0, False), (2, 1, 2, True), (3, 0, 3, True), (4, 1, 2, False), (5, 0, 5, True), (6, 0, 6, True)]
+    with pytest.raises(ValueError):
+        embed.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), threshold=0.0)
 
 
 @pytest.mark.parametrize(("n", "sample", "fitted", "per_cell"), [(1000, 500, 2, 10), (550, 16_384, 1, 2)])

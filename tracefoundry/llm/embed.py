@@ -42,6 +42,7 @@ ROUNDS = 8
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """k unit centroids of the rows of ``x``, started from evenly spaced rows."""
+    x = scaled(x)
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     centre = x[np.linspace(0, len(x) - 1, k).astype(np.int64)].copy()
     for _ in range(rounds):
@@ -53,6 +54,11 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centre
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, so their squares neither overflow nor vanish; cosines stay as they are, to the bit."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+
+
 def visits_of(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Home of each unit row of ``x``, and the matrix of cells it visits.
 
@@ -74,7 +80,7 @@ def _assign(centres: np.ndarray, threshold: float):
         for batch in batches:
             column = batch.column("embedding")
             fits = np.diff(column.offsets.to_numpy()) == centres.shape[1]
-            x = column.filter(pa.array(fits)).flatten().to_numpy().reshape(-1, centres.shape[1])
+            x = scaled(column.filter(pa.array(fits)).flatten().to_numpy().reshape(-1, centres.shape[1]))
             with np.errstate(all="ignore"):
                 x = np.nan_to_num(x / np.sqrt((x * x).sum(axis=1, keepdims=True)))
             cells = np.minimum(batch.column("cells").to_numpy()[fits], len(centres))
@@ -99,7 +105,7 @@ def _products(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in tk.runs(batches, "task"):
             ids, copies, side = (group.column(c).to_numpy() for c in ("rep", "copies", "side"))
-            x = group.column("embedding").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            x = scaled(group.column("embedding").combine_chunks().flatten().to_numpy().reshape(len(ids), -1))
             norm = np.sqrt((x * x).sum(axis=1))
             # side 0: residents that all others are compared with; 1: the other block; 2: both (a block with itself)
             a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
@@ -134,6 +140,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, per_cell: int = PE
     unlinked and kept.  Other columns are ignored whatever their names.  An
     empty table gives an empty result.
     """
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold has to be above 0 and at most 1")
     spark = vectors.sparkSession
     ship(spark)
     x = F.transform("embedding", lambda v: v.cast("double"))
