@@ -348,15 +348,15 @@ def outcome_match(spark, sf_dir):
     return met.select(F.col("id").alias("event_id"), F.col("match.event_id").alias("matched"), verdict.alias("verdict"))
 
 
-@query("SELECT a.vec_id AS left_id, b.vec_id AS right_id FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) > 0.92")
+@query("SELECT a.vec_id AS left_id, b.vec_id AS right_id FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) > 0.4")
 def semantic_dup_pairs(spark, sf_dir):
-    return semantic.similar_pairs(table(spark, sf_dir, "embeddings"), "label", 0.92).select("left_id", "right_id")
+    return semantic.similar_pairs(table(spark, sf_dir, "embeddings"), "label", 0.4).select("left_id", "right_id")
 
 
-@query("SELECT vec_id FROM embeddings b WHERE NOT EXISTS (SELECT 1 FROM embeddings a WHERE a.label = b.label AND a.vec_id < b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) > 0.92)")
+@query("SELECT vec_id FROM embeddings b WHERE NOT EXISTS (SELECT 1 FROM embeddings a WHERE a.label = b.label AND a.vec_id < b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) > 0.4)")
 def semantic_dedup(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
-    return semantic.semantic_dedup(rows, semantic.similar_pairs(rows, "label", 0.92)).select("vec_id")
+    return semantic.semantic_dedup(rows, semantic.similar_pairs(rows, "label", 0.4)).select("vec_id")
 
 
 @query(f"WITH {MARKED} SELECT kind, count(*)::BIGINT AS n, CAST(round(avg(n_chars) * 1000) AS BIGINT) AS mean_e3, quantile_cont(n_chars, 0.25)::DOUBLE AS p25, quantile_cont(n_chars, 0.5)::DOUBLE AS p50, quantile_cont(n_chars, 0.75)::DOUBLE AS p75, min(n_chars) AS least, max(n_chars) AS most FROM marked GROUP BY kind")

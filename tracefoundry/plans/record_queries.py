@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import answers, pairing, replies
 from ..shared import folder
-from .queries import query, table
+from ..streaming import outcomes
+from .queries import ORACLES, query, table
 
 #: One message in eleven begins a thread, one in thirteen answers message 0, some answer what is not there.
 REPLY_TO = """CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 97 = 5 THEN event_id + 1000000000
@@ -63,3 +64,24 @@ def one_to_one_pairs(spark, sf_dir):
     trades = rows.where("event_type = 'purchase'").withColumnRenamed("event_id", "trade_id")
     entries = rows.where("event_type = 'error'").withColumnRenamed("event_id", "entry_id")
     return pairing.pair_one_to_one(trades, entries, "symbol", 3600, "trade_id", "entry_id")
+
+
+@query(ORACLES["outcome_match"])
+def stream_expired(spark, sf_dir):
+    """The outcomes of ``outcome_match`` from a stream over the table, with a tick after its end that moves the watermark on.
+
+    The path is a pattern, as a file stream takes a single file by no other.
+    """
+    events = table(spark, sf_dir, "events")
+    base = folder(spark, "stream-expired")
+    # it has a user, as rows that no join can meet may end before the watermark sees them
+    given = {"ts": F.col("ts"), "user_id": F.lit(-1).cast("long").alias("user_id")}
+    tick = events.agg((F.max("ts") + F.expr("interval 30 days")).alias("ts")).select(*(given.get(f.name, F.lit(None).cast(f.dataType).alias(f.name)) for f in events.schema))
+    tick.write.parquet(f"{base}/tick")
+    source = lambda: spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]").unionByName(spark.readStream.schema(events.schema).parquet(f"{base}/tick"))
+    end = F.col("event_id").isNull()
+    clicks = source().where((F.col("event_type") == "click") | end).select(F.col("event_id").alias("id"), F.col("user_id").alias("instrument"), "ts")
+    trades = source().where((F.col("event_type") == "purchase") | end).select("event_id", F.col("user_id").alias("instrument"), "ts", (F.col("value") - 250.0).alias("realized_pnl_pct"))
+    outcomes.run_available(outcomes.stream_outcomes(clicks, trades, 6 * 3600), f"{base}/out", f"{base}/checkpoint")
+    done = spark.read.schema("id long, instrument long, ts timestamp, match struct<event_id:long>, verdict string").parquet(f"{base}/out")
+    return done.where("id is not null").select(F.col("id").alias("event_id"), F.col("match.event_id").alias("matched"), "verdict")
