@@ -47,6 +47,19 @@ def test_exact_chains_collisions(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_exact(rows)
 
 
+def test_exact_copies_a_common_head_in_many_tasks(spark, monkeypatch):
+    """A key with 300 cells: no task copies more than a fan of its head, and the result is the same."""
+    monkeypatch.setattr(exact, "CELL", 10)
+    monkeypatch.setattr(exact, "FAN", 4)
+    rows = [(i, "the same " * (1 + i % 2) if i % 3 else f"own {i}") for i in range(3000)]
+    got = exact.exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_exact(rows)
+    heads = spark.range(3).selectExpr("1L AS bucket", "id AS key", "cast(if(id = 0, 300, id) AS int) AS cells", "'h' AS head")
+    cells = exact._fanned(heads, 300, 8)
+    assert sorted(map(tuple, cells.select("key", "cell").collect())) == sorted((k, c) for k, n in ((0, 300), (1, 1), (2, 2)) for c in range(n))
+    assert max(r["count"] for r in cells.where("key = 0").groupBy(F.spark_partition_id()).count().collect()) < 150
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("times", [1, 5, 4000])
 def test_spread_join_meets_a_plain_join(spark, tmp_path, how, times):
@@ -275,3 +288,26 @@ def test_many_short_near_equal_lines(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK_ROWS", 100)
     monkeypatch.setattr(minhash, "DIRECT", 50)
     assert sorted(map(tuple, lines.fuzzy_lines(docs).collect())) == want
+
+
+def test_mix_deals_rows_repeated_whole(spark):
+    """4,000 repeats of one row are in all ranges, and the mix still comes near its targets."""
+    rows = [(7, "one two three", "a")] * 4000 + [(100 + i, f"w{i} x", "b") for i in range(1000)]
+    bins = []
+    real = mixing.cut
+
+    def seen(df, name):
+        out = real(df, name)
+        if name == "op4-ranged":
+            bins.extend(r["count"] for r in out.groupBy("bin").count().collect())
+        return out
+
+    mixing.cut = seen
+    try:
+        got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()
+    finally:
+        mixing.cut = real
+    assert len(bins) == 4 and max(bins) < 2 * 5000 / 4
+    for source in ("a", "b"):
+        own = [r for r in got if r["doc_id"] == 7] if source == "a" else [r for r in got if r["doc_id"] != 7]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 3

@@ -31,6 +31,8 @@ MAX_DEPTH = 14
 #: Rows of a bucket before it splits, and rows of one key in one cell.
 CAPACITY = 512
 CELL = 200
+#: Copies of a head that one task makes.
+FAN = 64
 
 
 def normalised(text: Column) -> Column:
@@ -115,6 +117,7 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # a cell for a row, not for its doc_id, which many rows may share
     cell = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("cells")).cast("int")
     open_ = cut(held.select("bucket", "key", "cells", cell.alias("cell"), "doc_id", "points", "norm"), "op5-entries")
+    most = plan.agg(F.max("cells")).first()[0] or 0
     drop_cut(plan, copies)
 
     chained = None
@@ -122,8 +125,8 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         # one text for each key and task goes to the shuffle
         first = F.min_by("norm", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "points", F.xxhash64("norm").alias("tie")))
         heads = open_.groupBy("bucket", "key", "cells").agg(first.alias("head"))
-        heads = heads.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).drop("cells")
         owners = width(spark)
+        heads = _fanned(heads, most, owners)
         left = open_.repartition(owners, "bucket", "cell")
         right = heads.repartition(owners, "bucket", "cell")
         met = cut(left.join(right, ["bucket", "cell", "key"]).withColumn("same", F.col("norm") == F.col("head")), "op5-met")
@@ -135,6 +138,17 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return _answers(facts, keys, chained)
 
 
+def _fanned(heads: DataFrame, most: int, owners: int) -> DataFrame:
+    """A row per cell of each head (bucket, key, cells, head); a head with more than FAN cells is copied by several tasks."""
+    cells = lambda low, high: F.explode(F.sequence(low, high)).alias("cell")
+    few = heads.where(F.col("cells") <= FAN).select("bucket", "key", "head", cells(F.lit(0), F.col("cells") - 1))
+    if most <= FAN:
+        return few
+    fans = heads.where(F.col("cells") > FAN).select("*", F.explode(F.expr(f"sequence(0, (cells - 1) div {FAN})")).alias("fan"))
+    fans = fans.withColumn("fan", F.col("fan").cast("int")).repartition(owners, "key", "fan")
+    return few.union(fans.select("bucket", "key", "head", cells(F.col("fan") * FAN, F.least("cells", (F.col("fan") + 1) * FAN) - 1)))
+
+
 def _answers(facts: DataFrame, keys: DataFrame, chained: DataFrame | None) -> DataFrame:
     order = F.struct(F.negative("points").alias("p"), F.col("doc_id").isNull().alias("none"), "doc_id")
     # rows of very common keys, which are few, end before the shuffle

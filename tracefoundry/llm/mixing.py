@@ -71,8 +71,8 @@ def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, share:
     size 0 and are never taken; a null source is a source.  Repeated rows
     are documents of their own with the same key, ordered among themselves
     by nothing that shows: they have equal size, and those that are taken
-    come first in an order by position.  Keys depend on doc_id and nothing
-    else, so reruns agree.  Other columns are ignored whatever their names.
+    come first in an order by position.  Keys depend on doc_id and text and
+    nothing else, so reruns agree.  Other columns are ignored whatever their names.
     An empty table gives an empty result.
     """
     rate = letter_share(F.col("text")) if quality is None else quality
@@ -87,14 +87,15 @@ def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, share:
 
     same = F.col("source").eqNullSafe(F.col("of"))
     # sampled bounds make the partitions even whatever the quality weights are
-    ranged = sized.repartitionByRange(width(docs.sparkSession), "source", "key", "doc_id", "size")
+    # rows repeated whole are told apart by their place in the table: they are interchangeable, so reruns still agree
+    ranged = sized.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(width(docs.sparkSession), "source", "key", "doc_id", "size", "place")
     ranged = cut(ranged.withColumn("bin", F.spark_partition_id()), "op4-ranged")
     binned = ranged.join(goals, same).drop("of")
     sums = ranged.groupBy("source", "bin").agg(F.sum("size").alias("words"))
     run = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("of"), F.col("bin").alias("at"), F.coalesce(F.sum("words").over(run), F.lit(0)).alias("before"))
     placed = binned.join(sums, same & (F.col("bin") == F.col("at"))).drop("of", "at")
-    inside = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size", "place").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     more = (start + F.col("size") / 2 <= F.col("rest")).cast("long")
     return placed.select("doc_id", *carry, "size", "source_size", "target", (F.col("size") * (F.col("epochs") + more)).cast("long").alias("taken"))
