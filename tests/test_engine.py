@@ -15,7 +15,7 @@ from tracefoundry.operators.matching import as_of, first_touch, label_outcomes,
 from tracefoundry.operators.validate import json_errors, schema_errors, typed_errors
 from tracefoundry.plans import dataset
 from tracefoundry.sinks import files
-from tracefoundry.sources import collectors
+from tracefoundry.sources import collectors, post_api
 from tracefoundry.sources.fills import read_fills
 from tracefoundry.sources.posts import read_posts, trade_ideas
 
@@ -349,9 +349,9 @@ def test_collectors(spark, tmp_path):
     with pytest.raises(ValueError):
         collectors.PostCollector([], "pigeon", "")
     with pytest.raises(NotImplementedError):
-        collectors.PostApiSource({"token": "t"}).fetch("a", "t")
+        post_api.PostApiSource({"token": "t"}).fetch("a", "t")
     with pytest.raises(OSError):
-        collectors.PostApiSource({}).reader(None)
+        post_api.PostApiSource({}).reader(None)
 
 
 def test_time_joins(spark):

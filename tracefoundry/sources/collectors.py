@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from ..functions.exprs import parse_iso, record_id
 from ..functions.trading import symbol_in
@@ -197,40 +196,3 @@ def run_collection(spark: SparkSession, collectors: list[Collector], output_dir:
     records.write.mode("overwrite").partitionBy("source").json(output_dir)
     schema = RAW_RECORD.replace("source string, ", "") + ", source string"
     return spark.read.schema(schema).json(output_dir).groupBy("source").agg(F.count("*").alias("records"))
-
-
-class PostApiSource(DataSource):
-    """Interface of a live post fetcher for the Python Data Source API.
-
-    ``fetch(account, token)`` of a subclass yields (id, author, handle,
-    timestamp, text) tuples; accounts are read in parallel.  The base class
-    knows no network.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "post_api"
-
-    def schema(self) -> str:
-        return "id string, author string, handle string, timestamp string, text string"
-
-    def fetch(self, account: str, token: str):
-        raise NotImplementedError("subclass PostApiSource and implement fetch()")
-
-    def reader(self, schema) -> DataSourceReader:
-        return PostApiReader(self)
-
-
-class PostApiReader(DataSourceReader):
-    def __init__(self, source: PostApiSource):
-        self.source, self.options = source, dict(source.options)
-        if not self.options.get("token"):
-            raise OSError("the option 'token' has to hold a bearer token")
-
-    def partitions(self):
-        from pyspark.sql.datasource import InputPartition
-
-        return [InputPartition(a.strip()) for a in self.options.get("accounts", "").split(",") if a.strip()]
-
-    def read(self, partition):
-        yield from self.source.fetch(partition.value, self.options["token"])
