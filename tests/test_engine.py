@@ -15,6 +15,7 @@ from tracefoundry.operators.matching import as_of, first_touch, label_outcomes,
 from tracefoundry.operators.validate import json_errors, schema_errors, typed_errors
 from tracefoundry.plans import dataset
 from tracefoundry.sinks import files
+from tracefoundry.sinks.shards import read_manifest
 from tracefoundry.sources import collectors, post_api
 from tracefoundry.sources.fills import read_fills
 from tracefoundry.sources.posts import read_posts, trade_ideas
@@ -330,6 +331,9 @@ def test_sinks_and_cli(spark, tmp_path, capsys):
     assert len(shown["reasoning"]) == 123 and "system_prompt" not in shown.asDict()
     bad = labeled.withColumn("version", F.lit("x"))
     assert files.write_jsonl(bad, str(tmp_path / "bad.jsonl")) == (0, 3)
+    assert cli.main(["--demo", "--shards", "--out-dir", str(tmp_path / "shards")], spark) == 0
+    told = read_manifest(str(tmp_path / "shards" / "sft_dataset.jsonl"))
+    assert (told["rows"], told["skipped"]) == (4, 0)
 
 
 def test_collectors(spark, tmp_path):

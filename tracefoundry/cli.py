@@ -17,6 +17,7 @@ SAMPLES = Path(__file__).parent / "samples"
 
 
 def parser() -> argparse.ArgumentParser:
+    # fixed values: names and defaults of the options, but for --shards
     p = argparse.ArgumentParser(prog="tracefoundry", description=__doc__)
     flag = argparse.BooleanOptionalAction
     p.add_argument("--demo", action="store_true", help="use bundled samples for inputs that are not given")
@@ -28,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--min-quality", type=float, default=0.0)
     p.add_argument("--val-fraction", type=float, default=0.15)
     p.add_argument("--use-llm", action="store_true", help="use the expander that the program was started with")
+    p.add_argument("--shards", action="store_true", help="write folders of sorted shards with a manifest instead of single files")
     return p
 
 
@@ -75,7 +77,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, expan
     if not stats["final"]:
         print("error: all examples were filtered out", file=sys.stderr)
         return 1
-    result = export_dataset(labeled, stats, a.out_dir)
+    result = export_dataset(labeled, stats, a.out_dir, single_file=not a.shards)
     print(summary(result, stats))
     from pyspark.sql import functions as F
 

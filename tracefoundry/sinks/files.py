@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.stats import distribution
 from ..operators.validate import with_errors
+from .shards import joined, write_shards
 
 FIELDS = ["id", "version", "split", "source", "market", "instrument", "timeframe", "timestamp_context", "system_prompt", "context", "reasoning", "decision", "outcome", "tags", "quality_score"]
 
@@ -37,34 +38,21 @@ def as_json(examples: DataFrame) -> DataFrame:
     return examples.select(F.to_json(F.struct(*[c for c in FIELDS if c in examples.columns])).alias("value"))
 
 
-def write_jsonl(examples: DataFrame, path: str, single_file: bool = True) -> tuple[int, int]:
+def write_jsonl(examples: DataFrame, path: str, single_file: bool = False) -> tuple[int, int]:
     """(written, skipped): valid examples as lines of JSON in order of ``ord``; the others are left out.
 
-    ``single_file`` makes one file named ``path``; a large set is better kept
-    as a folder of parts.
+    ``path`` is a folder of sorted shards with a manifest.  ``single_file``
+    makes one file of them, for sets of a size that a person reads.
     """
-    spark = examples.sparkSession
-    checked = with_errors(examples).persist()
-    counts = checked.agg(F.count_if(F.size("errors") == 0).alias("ok"), F.count_if(F.size("errors") > 0).alias("bad")).first()
+    checked = with_errors(examples)
+    value = F.when(F.size("errors") == 0, F.to_json(F.struct(*[c for c in FIELDS if c in examples.columns])))
     order = [c for c in ("ord",) if c in checked.columns]
-    good = checked.where(F.size("errors") == 0)
-    good = good.orderBy(*order) if order else good
-    if not single_file:
-        as_json(good).write.mode("overwrite").text(path)
-    else:
-        folder = f"{path}.parts"
-        as_json(good.coalesce(1).sortWithinPartitions(*order) if order else good.coalesce(1)).write.mode("overwrite").text(folder)
-        fs, source = _fs(spark, folder)
-        _, target = _fs(spark, path)
-        parts = [s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-")]
-        fs.delete(target, False)
-        if parts:
-            fs.rename(parts[0], target)
-        else:
-            write_text(spark, path, "")
-        fs.delete(source, True)
-    checked.unpersist()
-    return counts["ok"], counts["bad"]
+    rows = checked.select(value.alias("value"), *order)
+    target = f"{path}.parts" if single_file else path
+    told = write_shards(rows, target, order)
+    if single_file:
+        joined(examples.sparkSession, target, path)
+    return told["rows"], told["skipped"]
 
 
 def stats_markdown(stats: dict, train_path: str, val_path: str) -> str:
@@ -89,7 +77,7 @@ def stats_markdown(stats: dict, train_path: str, val_path: str) -> str:
     return "\n\n".join(parts) + "\n"
 
 
-def export_dataset(labeled: DataFrame, stats: dict, out_dir: str, single_file: bool = True) -> dict:
+def export_dataset(labeled: DataFrame, stats: dict, out_dir: str, single_file: bool = False) -> dict:
     """Train and val files and statistics; rows of other splits are not exported."""
     train, val, report = (f"{out_dir}/{n}" for n in ("sft_dataset.jsonl", "sft_dataset.val.jsonl", "stats.md"))
     result = {"train_path": train, "val_path": val, "stats_path": report}
