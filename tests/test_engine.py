@@ -309,6 +309,15 @@ def test_schema_rules(spark):
     assert got == [[], ["a: pattern", "a: minLength"], ["a: required"], ["object: additional property", "n: maximum"], ["o.k: enum"], ["o.k: required", "l: minItems"], ["not JSON"]]
 
 
+def test_json_schema_items_and_formats(spark):
+    node = {"type": "object", "properties": {"k": {"type": "string"}, "g": {"type": "array", "items": {"type": "integer", "minimum": 0}}}, "required": ["k"]}
+    schema = {"type": "object", "properties": {"id": {"format": "uuid"}, "t": {"format": "date-time"}, "d": {"format": "date"}, "e": {"format": "unheard-of"}, "z": {"type": "array", "items": {"type": "number", "maximum": 5}}, "o": {"type": "array", "items": node}}}
+    good = '{"id": "0b5bfa7e-1111-4222-8333-444455556666", "t": "2025-01-01T10:00:00.5+02:00", "d": "2024-02-29", "e": "?", "z": [1, 2.5], "o": [{"k": "x", "g": [1]}, {"k": "y"}]}'
+    texts = [good, "{}", '{"id": "x", "t": "2025-01-01", "d": "2025-02-29"}', '{"t": "2025-13-01T00:00:00Z", "z": [1, "2"]}', '{"z": [6, null, 7]}', '{"z": 3, "o": [1, {"g": [0, -1, "a"]}]}', '{"z": [], "o": [{"k": 1}]}', "[1]", None]
+    got = column(spark, "string", texts, schema_errors(F.col("x"), schema))
+    assert got == [[], [], ["id: format", "t: format", "d: format"], ["t: format", "z[]: type"], ["z[]: type", "z[]: maximum"], ["z: type", "o[]: type", "o[].k: required", "o[].g[]: type", "o[].g[]: minimum"], ["o[].k: type"], ["object: type"], ["not JSON"]]
+
+
 def test_sinks_and_cli(spark, tmp_path, capsys):
     out = str(tmp_path / "run")
     assert cli.main(["--demo", "--out-dir", out], spark) == 0

@@ -53,7 +53,7 @@ def check(spark, rows, **options):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_random_forests(spark, seed):
     rng = random.Random(seed)
     ids = rng.sample(range(1000), 150)
@@ -93,6 +93,6 @@ def test_chat_exports_become_threads(spark, tmp_path):
     assert one["raw_text"] == "d: ETH\n  e: no" and one["metadata"] == {"root": "9", "messages": "2", "platform": "discord"}
 
 
-@pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, 2, None)], [(1, 1, None)], [(None, 1, None)]])
+@pytest.mark.parametrize("rows", [[], [(1, 2, None), (None, 1, None), (3, 3, None)]])
 def test_few_messages(spark, rows):
     check(spark, rows)

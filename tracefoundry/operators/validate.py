@@ -112,49 +112,73 @@ def with_errors(examples: DataFrame) -> DataFrame:
     return examples.withColumn("errors", typed_errors())
 
 
+#: Kinds of a VARIANT that a type of JSON Schema takes.
+KINDS = {"string": "^STRING$", "number": r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$", "integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "boolean": "^BOOLEAN$", "array": "^ARRAY", "object": "^OBJECT", "null": "^VOID$"}
+
+
+def _in_format(text: Column, name: str) -> Column:
+    """Whether a text is in a format of JSON Schema; formats that are not known hold for all."""
+    if name == "uuid":
+        return text.rlike(UUID)
+    if name == "date":
+        return text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
+    if name == "date-time":
+        return text.rlike(r"(?i)^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$") & F.upper(text).try_cast("timestamp").isNotNull()
+    return F.lit(True)
+
+
+def _rules(node: dict, x: Column, kind: Column) -> list[tuple[str, Column]]:
+    """(what it says, whether it is broken) for each keyword of ``node``, for a VARIANT of a kind; null where there is no value."""
+    text, number = F.try_variant_get(x, "$", "string"), F.try_variant_get(x, "$", "double")
+    is_text, is_number, is_array, is_object = kind == "STRING", kind.rlike(KINDS["number"]), kind.startswith("ARRAY"), kind.startswith("OBJECT")
+    found: list[tuple[str, Column]] = []
+    if "type" in node:
+        types = node["type"] if isinstance(node["type"], list) else [node["type"]]
+        found.append((": type", ~kind.rlike("|".join(KINDS[t] for t in types))))
+    if "enum" in node:
+        found.append((": enum", kind.isNotNull() & ~F.coalesce(text.isin(*map(str, node["enum"])), F.lit(False))))
+    if "pattern" in node:
+        found.append((": pattern", is_text & (F.regexp_count(text, F.lit(node["pattern"])) == 0)))
+    if "minLength" in node:
+        found.append((": minLength", is_text & (F.length(text) < node["minLength"])))
+    if "format" in node:
+        found.append((": format", is_text & ~_in_format(text, node["format"])))
+    found += [(f": {key}", is_number & bad(number, node[key])) for key, bad in (("minimum", Column.__lt__), ("maximum", Column.__gt__)) if key in node]
+    if {"minItems", "maxItems", "items"} & set(node):
+        elements = F.try_variant_get(x, "$", "array<variant>")
+        found += [(f": {key}", is_array & bad(F.size(elements), node[key])) for key, bad in (("minItems", Column.__lt__), ("maxItems", Column.__gt__)) if key in node]
+        # of an element, the rules that its place has; the same error of several elements is one
+        for n, (says, _) in enumerate(_rules(node.get("items", {}), x, kind)):
+            found.append((f"[]{says}", is_array & F.exists(elements, _element_breaks(node["items"], n))))
+    if "properties" in node or "required" in node:
+        keys = F.json_object_keys(F.to_json(x))
+        found += [(f".{k}: required", is_object & ~F.array_contains(keys, k)) for k in node.get("required", [])]
+        if node.get("additionalProperties") is False:
+            known = F.array(*[F.lit(k) for k in node.get("properties", {})]).cast("array<string>")
+            found.append((": additional property", is_object & (F.size(F.array_except(keys, known)) > 0)))
+        for k, child in node.get("properties", {}).items():
+            inner = F.try_variant_get(x, f"$.{k}", "variant")
+            found += [(f".{k}{says}", is_object & bad) for says, bad in _rules(child, inner, F.schema_of_variant(inner))]
+    return found
+
+
+def _element_breaks(node: dict, n: int):
+    """Whether an element breaks the n-th rule of ``node``."""
+    return lambda e: F.coalesce(_rules(node, e, F.coalesce(F.schema_of_variant(e), F.lit("VOID")))[n][1], F.lit(False))
+
+
 def schema_errors(raw: Column, schema: dict) -> Column:
     """Errors of JSON texts against a JSON Schema of an object: a rule per keyword of each property.
 
     Covers required, additionalProperties, type, enum, pattern, minLength,
-    minimum, maximum, minItems and maxItems, nested objects included.
+    format (uuid, date, date-time), minimum, maximum, minItems, maxItems and
+    items, nested objects and arrays included.  A text is parsed once.  An
+    error names its property, ``[]`` any element of an array.
     """
     v = F.try_parse_json(raw)
-    found: list[Column] = []
-    names = {"string": "^STRING$", "number": r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$", "integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "boolean": "^BOOLEAN$", "array": "^ARRAY", "object": "^OBJECT", "null": "^VOID$"}
-
-    def visit(node: dict, path: str, name: str, present: Column) -> None:
-        kind = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
-        here = present & kind.isNotNull()
-        if "type" in node:
-            types = node["type"] if isinstance(node["type"], list) else [node["type"]]
-            found.append(_says(here & ~kind.rlike("|".join(names[t] for t in types)), f"{name}: type"))
-        text, number = F.try_variant_get(v, path, "string"), F.try_variant_get(v, path, "double")
-        if "enum" in node:
-            found.append(_says(here & ~F.coalesce(text.isin(*map(str, node["enum"])), F.lit(False)), f"{name}: enum"))
-        if "pattern" in node:
-            found.append(_says(here & (kind == "STRING") & (F.regexp_count(text, F.lit(node["pattern"])) == 0), f"{name}: pattern"))
-        if "minLength" in node:
-            found.append(_says(here & (kind == "STRING") & (F.length(text) < node["minLength"]), f"{name}: minLength"))
-        for key, bad in (("minimum", number < node.get("minimum", 0)), ("maximum", number > node.get("maximum", 0))):
-            if key in node:
-                found.append(_says(here & kind.rlike(names["number"]) & bad, f"{name}: {key}"))
-        size = F.size(F.try_variant_get(v, path, "array<variant>"))
-        for key, bad in (("minItems", size < node.get("minItems", 0)), ("maxItems", size > node.get("maxItems", 0))):
-            if key in node:
-                found.append(_says(here & kind.startswith("ARRAY") & bad, f"{name}: {key}"))
-        if "properties" in node or "required" in node:
-            inside = here & kind.startswith("OBJECT")
-            keys = F.json_object_keys(F.get_json_object(raw, path)) if path != "$" else F.json_object_keys(raw)
-            for k in node.get("required", []):
-                found.append(_says(inside & ~F.array_contains(keys, k), f"{name}.{k}: required".lstrip(".")))
-            if node.get("additionalProperties") is False:
-                known = F.array(*[F.lit(k) for k in node.get("properties", {})])
-                found.append(_says(inside & (F.size(F.array_except(keys, known)) > 0), f"{name or 'object'}: additional property"))
-            for k, child in node.get("properties", {}).items():
-                visit(child, f"{path}.{k}", f"{name}.{k}".lstrip("."), inside)
-
-    visit(schema, "$", "", F.lit(True))
-    return F.when(v.isNull(), F.array(F.lit("not JSON"))).otherwise(F.array_compact(F.array(*found)))
+    rules = _rules(schema, v, F.schema_of_variant(v))
+    found = [_says(bad, f"object{says}" if says.startswith(":") else says.removeprefix(".")) for says, bad in rules]
+    return F.when(v.isNull(), F.array(F.lit("not JSON"))).otherwise(F.array_compact(F.array(*found)) if found else F.array().cast("array<string>"))
 
 
 def load_schema(text: str) -> dict:

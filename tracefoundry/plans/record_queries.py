@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import answers, pairing, replies
+from ..operators.validate import schema_errors
 from ..shared import folder
 from ..streaming import outcomes
 from .queries import ORACLES, query, table
@@ -85,3 +86,30 @@ def stream_expired(spark, sf_dir):
     outcomes.run_available(outcomes.stream_outcomes(clicks, trades, 6 * 3600), f"{base}/out", f"{base}/checkpoint")
     done = spark.read.schema("id long, instrument long, ts timestamp, match struct<event_id:long>, verdict string").parquet(f"{base}/out")
     return done.where("id is not null").select(F.col("id").alias("event_id"), F.col("match.event_id").alias("matched"), "verdict")
+
+
+#: A keyword of each sort, over rows of documents as JSON.
+DOCUMENT_SCHEMA = {
+    "type": "object",
+    "required": ["id", "lang", "size"],
+    "additionalProperties": False,
+    "properties": {
+        "id": {"type": "integer", "minimum": 10},
+        "lang": {"type": "string", "enum": ["en", "de"]},
+        "tags": {"type": "array", "minItems": 1, "items": {"type": "string", "minLength": 3}},
+        "seen": {"type": "string", "format": "date-time"},
+        "size": {"type": "integer", "maximum": 2000},
+    },
+}
+
+
+@query("""SELECT doc_id, array_to_string(list_filter([
+  CASE WHEN lang IS NULL THEN 'lang: required' END, CASE WHEN n_chars IS NULL THEN 'size: required' END, CASE WHEN doc_id < 10 THEN 'id: minimum' END,
+  CASE WHEN lang NOT IN ('en', 'de') THEN 'lang: enum' END, CASE WHEN source IS NULL OR lang IS NULL THEN 'tags[]: type' END,
+  CASE WHEN length(source) < 3 OR length(lang) < 3 THEN 'tags[]: minLength' END, CASE WHEN doc_id % 3 <> 0 THEN 'seen: format' END, CASE WHEN n_chars > 2000 THEN 'size: maximum' END
+], lambda x: x IS NOT NULL), '; ') AS errors FROM documents""")
+def schema_faults(spark, sf_dir):
+    """Rows of documents as JSON against a schema with items and formats."""
+    seen = F.when(F.col("doc_id") % 3 == 0, F.lit("2025-01-01T00:00:00Z")).otherwise(F.lit("2025-01-01"))
+    raw = F.to_json(F.struct(F.col("doc_id").alias("id"), "lang", F.array("source", "lang").alias("tags"), seen.alias("seen"), F.col("n_chars").alias("size")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(schema_errors(raw, DOCUMENT_SCHEMA), "; ").alias("errors"))
