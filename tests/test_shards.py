@@ -1,5 +1,6 @@
 """Sorted shards: whole runs or nothing, and manifests that agree with the files."""
 
+import bisect
 import hashlib
 import json
 import os
@@ -7,6 +8,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tracefoundry.operators.stats import ACCURACY, TRACKED
+from tracefoundry.sinks.files import dataset_card
 from tracefoundry.sinks.shards import joined, read_manifest, write_shards
 
 
@@ -55,3 +58,24 @@ def test_no_rows(spark, tmp_path):
     told = write_shards(lines(spark, 0), str(tmp_path / "none"), ["at"])
     assert told == {"rows": 0, "skipped": 0, "shards": []} == read_manifest(str(tmp_path / "none"))
     assert json.loads((tmp_path / "none" / "_manifest.json").read_text())["rows"] == 0
+
+
+def test_card_from_sketches_keeps_its_errors(spark):
+    """Instruments of a long tail and scores of many values, within the bounds that the sketches state."""
+    n = 40_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("BTC")).when(F.col("id") % 7 == 1, F.lit(None)).otherwise(F.concat(F.lit("S"), F.floor(F.sqrt("id")))).alias("instrument"),
+        (F.xxhash64("id") % 100_003 / 100_003.0).alias("quality_score"), F.lit("train").alias("split"), F.lit("s").alias("source"), F.lit("2025").alias("timestamp_context"),
+        F.struct(F.lit("WIN").alias("verdict")).alias("outcome"),
+    )
+    exact, near = dataset_card(rows), dataset_card(rows, exact=False, instruments=20)
+    scores = sorted(r[0] for r in rows.select("quality_score").collect())
+    for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        got = near["quality_score"][name]
+        low, high = bisect.bisect_left(scores, got), bisect.bisect_right(scores, got)
+        assert low - n / ACCURACY - 1 <= q * n <= high + n / ACCURACY + 1
+    slack = 3.5 * n / TRACKED
+    assert len(near["instruments"]) == 20 and all(exact["instruments"][k] <= c <= exact["instruments"][k] + slack for k, c in near["instruments"].items())
+    missed = max(c for k, c in exact["instruments"].items() if k not in near["instruments"])
+    assert missed <= min(near["instruments"].values()) + slack
+    assert {k: v for k, v in near.items() if k not in ("instruments", "quality_score")} == {k: v for k, v in exact.items() if k not in ("instruments", "quality_score")}

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.stats import distribution
+from ..operators.stats import distribution, heavy_hitters
 from ..operators.validate import with_errors
 from .shards import joined, write_shards
 
@@ -87,25 +87,31 @@ def export_dataset(labeled: DataFrame, stats: dict, out_dir: str, single_file: b
     return result
 
 
-def dataset_card(labeled: DataFrame) -> dict:
-    """Counts, distributions, dates and quality statistics of all splits; one pass per distribution."""
+def dataset_card(labeled: DataFrame, exact: bool = True, instruments: int = 1000) -> dict:
+    """Counts, distributions, dates and quality statistics of all splits; one pass per distribution.
+
+    Exact, each instrument is a row on the driver.  Else the card names about
+    the ``instruments`` most frequent and takes quartiles from sketches, with
+    the errors of :func:`heavy_hitters` and :func:`distribution`.
+    """
     counts = lambda c: {r[0]: r[1] for r in labeled.groupBy(c.alias("k")).agg(F.count("*")).orderBy("k").collect()}
     dates = labeled.agg(F.min("timestamp_context"), F.max("timestamp_context")).first()
-    quality = distribution(labeled, F.col("quality_score")).first()
+    quality = distribution(labeled, F.col("quality_score"), exact=exact).first()
+    named = counts(F.col("instrument")) if exact else {r["item"]: r["count"] for r in heavy_hitters(labeled, F.col("instrument"), instruments).collect()}
     return {
         "schema_version": "1.0",
         "total_examples": quality["n"],
         "splits": counts(F.col("split")),
         "sources": counts(F.coalesce("source", F.lit("unknown"))),
-        "instruments": counts(F.col("instrument")),
+        "instruments": named,
         "verdicts": counts(F.coalesce(F.col("outcome.verdict"), F.lit("none"))),
         "date_range": list(dates),
         "quality_score": {k: quality[k] for k in ("mean", "std", "p25", "p50", "p75", "least", "most")},
     }
 
 
-def write_dataset_card(labeled: DataFrame, path: str) -> dict:
-    card = dataset_card(labeled)
+def write_dataset_card(labeled: DataFrame, path: str, exact: bool = True) -> dict:
+    card = dataset_card(labeled, exact)
     write_text(labeled.sparkSession, path, json.dumps(card, indent=2, ensure_ascii=False) + "\n")
     return card
 
