@@ -86,12 +86,14 @@ IDEAS = f"""posts AS (
   SELECT *, least(1 + coalesce(entry <> 0, false)::INT + coalesce(target <> 0, false)::INT + coalesce(stop <> 0, false)::INT + (length(reasoning) > 80)::INT, 5) AS confidence
   FROM judged WHERE tweet_id IS NOT NULL AND timestamp IS NOT NULL AND direction IS NOT NULL
 )"""
+# fixed values: the lines that the examples have
 CONTEXT = NL.join([
     "'Asset: ' || symbol", "'Timestamp: ' || timestamp", "'KOL setup posted by ' || author || ' (' || handle || ')'", "'Proposed direction: ' || upper(direction)",
     f"'Entry zone: ' || {_price('entry')}", f"'Target: ' || {_price('target')}", f"'Stop / Invalidation: ' || {_price('stop')}",
     "'Proposed size: ' || CASE WHEN size <> 0 THEN CASE size WHEN 2 THEN '2' ELSE size::VARCHAR END || '%' ELSE 'unspecified' END", "''", "'Tweet text: ' || text",
 ])
 _MEASURED = "(coalesce(entry <> 0, false) AND coalesce(target <> 0, false) AND coalesce(stop <> 0, false))"
+# fixed values: the lines that the examples have
 REASONING = NL.join([
     "'**Market Structure Read:**'", f"'The setup is on ' || symbol || ', with a proposed ' || upper(direction) || ' bias at ' || {_price('entry')} || '.'", "''", "'**Catalyst / Trigger:**'",
     "CASE WHEN trim(reasoning) <> '' THEN trim(reasoning) ELSE 'See tweet context above for the stated rationale.' END", "''", "'**Risk / Reward Assessment:**'",
@@ -171,10 +173,12 @@ TRIPS = f"""trips AS (
     o_totalprice AS entry, o_totalprice * 1.5::DOUBLE AS exit, (o_orderkey % 40) / 8.0::DOUBLE AS qty, (o_orderkey % 300) / 4.0::DOUBLE AS fee, (o_orderkey % 500) / 4.0::DOUBLE AS hours,
     (o_orderkey % 2001 - 1000) / 64.0::DOUBLE AS pct FROM orders
 ), ended AS (SELECT *, CASE WHEN pct > 1 THEN 'WIN' WHEN pct < -1 THEN 'LOSS' ELSE 'SCRATCH' END AS verdict FROM trips)"""
+# fixed values: the lines that the examples have
 TRIP_CONTEXT = NL.join([
     "'Asset: ' || symbol", "'Entry timestamp: ' || entry_time", "'Exit timestamp: ' || exit_time", "'Direction: ' || upper(direction)", f"'Average entry price: ' || {_price('entry')}",
     f"'Average exit price: ' || {_price('exit')}", "'Position size (base qty): ' || qty::VARCHAR", "'Holding period: ' || format('{:.1f}', hours) || ' hours'", "'Total fees: $' || format('{:.2f}', fee)",
 ])
+# fixed values: the lines that the examples have
 TRIP_REASONING = NL.join([
     "'**Market Structure Read:**'", f"'Entered a ' || upper(direction) || ' position on ' || symbol || ' at ' || {_price('entry')} || '.'", "''", "'**Execution:**'",
     f"'The position was held for ' || format('{{:.1f}}', hours) || ' hours before being closed at ' || {_price('exit')} || '.'", "''", "'**Risk / Reward:**'",
