@@ -64,23 +64,94 @@ def label_outcomes(records: DataFrame, trades: DataFrame, seconds: int, win: flo
     return met.withColumn("realized_pnl_pct", pct).withColumn("verdict", F.when(pct.isNull(), F.lit("EXPIRED")).otherwise(verdict(pct, win, loss))).drop("match")
 
 
+def _touches(low: Column, high: Column) -> tuple[Column, Column]:
+    """Whether the stop and the target of an idea are within what prices went to."""
+    up = F.col("target") >= F.col("entry")
+    return F.when(up, low <= F.col("stop")).otherwise(high >= F.col("stop")), F.when(up, high >= F.col("target")).otherwise(low <= F.col("target"))
+
+
+def _result(stopped: Column) -> Column:
+    way = F.when(F.col("target") >= F.col("entry"), 1.0).otherwise(-1.0)
+    return way * (F.when(stopped, F.col("stop")).otherwise(F.col("target")) - F.col("entry")) / F.col("entry") * 100
+
+
 def first_touch(ideas: DataFrame, bars: DataFrame, horizon_seconds: int) -> DataFrame:
     """Theoretical result of ideas (id, instrument, ts, entry, target, stop) on bars (instrument, ts, high, low).
 
     The first bar after the idea that touches the stop or the target ends it;
     a bar that touches both counts as the stop.  Null if none does in time.
+    An idea meets every bar of its horizon: :func:`first_touch_by_spans` does
+    not, which pays where a horizon has more than some hundred bars.
     """
     width = horizon_seconds * 1_000_000
     l = ideas.withColumn("__lt", micros(F.col("ts"))).withColumn("__b", _buckets(F.col("__lt"), width))
     r = bars.select("instrument", "high", "low", micros(F.col("ts")).alias("__rt"))
     r = r.withColumn("__b", F.explode(F.array(_buckets(F.col("__rt"), width), _buckets(F.col("__rt"), width) - 1)))
-    up = F.col("target") >= F.col("entry")
-    stopped = F.when(up, F.col("low") <= F.col("stop")).otherwise(F.col("high") >= F.col("stop"))
-    reached = F.when(up, F.col("high") >= F.col("target")).otherwise(F.col("low") <= F.col("target"))
+    stopped, reached = _touches(F.col("low"), F.col("high"))
     met = l.join(r, ["instrument", "__b"]).where((F.col("__rt") > F.col("__lt")) & (F.col("__rt") <= F.col("__lt") + width) & (stopped | reached))
-    way = F.when(up, 1.0).otherwise(-1.0)
-    exit_at = F.when(stopped, F.col("stop")).otherwise(F.col("target"))
-    done = met.groupBy("id").agg(F.min_by(way * (exit_at - F.col("entry")) / F.col("entry") * 100, F.col("__rt")).alias("theoretical_pct"))
+    done = met.groupBy("id").agg(F.min_by(_result(stopped), F.col("__rt")).alias("theoretical_pct"))
+    return ideas.join(done, "id", "left")
+
+
+#: Spans of one level in a span of the next.
+FANOUT = 4
+
+
+def span_table(bars: DataFrame, slot_seconds: int, levels: int) -> DataFrame:
+    """(instrument, level, span, low, high): least and greatest price of spans of FANOUT**level slots."""
+    slot = _buckets(micros(F.col("ts")), slot_seconds * 1_000_000)
+    slots = bars.groupBy("instrument", slot.alias("slot")).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    up = slots.select("instrument", "slot", "low", "high", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"))
+    span = F.floor(F.col("slot") / F.pow(F.lit(float(FANOUT)), "level")).cast("long")
+    return up.groupBy("instrument", "level", span.alias("span")).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def covering(begin: Column, end: Column, levels: int) -> Column:
+    """Spans (level, span) that make up the slots [begin, end): at most 2 * (FANOUT - 1) of each level."""
+    parts = []
+    between = lambda k, a, b: F.transform(F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>")), lambda s: F.struct(F.lit(k).alias("level"), s.alias("span")))
+    for k in range(levels + 1):
+        size = float(FANOUT**k)
+        low, high = F.ceil(begin / size).cast("long"), F.floor(end / size).cast("long")
+        left, right = F.ceil(low / FANOUT).cast("long") * FANOUT, F.floor(high / FANOUT).cast("long") * FANOUT
+        if k == levels:
+            parts.append(between(k, low, high))
+        else:
+            parts += [between(k, low, F.least(left, high)), between(k, F.greatest(left, right), high)]
+    return F.concat(*parts)
+
+
+def first_touch_by_spans(ideas: DataFrame, bars: DataFrame, horizon_seconds: int, slot_seconds: int = 60) -> DataFrame:
+    """:func:`first_touch`, where an idea meets a number of rows that grows with the logarithm of its horizon's bars.
+
+    Bars are summed up in slots, and slots in a pyramid of spans.  Of the few
+    spans that make up an idea's horizon, the first whose prices touch holds
+    the end; from there one goes down by the first child that touches.  Bars
+    are met in three slots: the idea's own, the one found, the horizon's last.
+    """
+    width, slot = horizon_seconds * 1_000_000, slot_seconds * 1_000_000
+    levels = 0
+    while FANOUT ** (levels + 1) * slot_seconds <= horizon_seconds:
+        levels += 1
+    spans = span_table(bars, slot_seconds, levels)
+    own = ideas.select("id", "instrument", "entry", "target", "stop", micros(F.col("ts")).alias("__lt")).where("__lt is not null")
+    own = own.withColumn("__first", _buckets(F.col("__lt"), slot)).withColumn("__last", _buckets(F.col("__lt") + width, slot))
+    stopped, reached = _touches(F.col("low"), F.col("high"))
+    touch = stopped | reached
+    # FANOUT**level is exact in double precision
+    start = F.col("span") * F.pow(F.lit(float(FANOUT)), "level").cast("long")
+    facts = ["id", "instrument", "entry", "target", "stop", "__lt", "__first", "__last"]
+    at = own.select(*facts, F.inline(covering(F.col("__first") + 1, F.col("__last"), levels)))
+    at = at.join(spans, ["instrument", "level", "span"]).where(touch).groupBy("id").agg(F.min_by(F.struct(*facts[1:], "level", "span"), start).alias("f")).select("id", "f.*")
+    for k in range(levels, 0, -1):
+        # spans of lower levels wait for their turn
+        down = at.withColumn("__high", F.col("level") == k)
+        down = down.select(*facts, F.explode(F.when(F.col("__high"), F.sequence(F.col("span") * FANOUT, F.col("span") * FANOUT + FANOUT - 1)).otherwise(F.array("span"))).alias("span"), F.when(F.col("__high"), k - 1).otherwise(F.col("level")).alias("level"))
+        at = down.join(spans, ["instrument", "level", "span"]).where(touch).groupBy("id").agg(F.min_by(F.struct(*facts[1:], "level", "span"), "span").alias("f")).select("id", "f.*")
+    slots = own.select(*facts, F.explode(F.array_distinct(F.array("__first", "__last"))).alias("slot")).unionByName(at.select(*facts, F.col("span").alias("slot"))).distinct()
+    rows = bars.select("instrument", "high", "low", micros(F.col("ts")).alias("__rt")).withColumn("slot", _buckets(F.col("__rt"), slot))
+    met = slots.join(rows, ["instrument", "slot"]).where((F.col("__rt") > F.col("__lt")) & (F.col("__rt") <= F.col("__lt") + width) & touch)
+    done = met.groupBy("id").agg(F.min_by(_result(stopped), F.col("__rt")).alias("theoretical_pct"))
     return ideas.join(done, "id", "left")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import answers, pairing, replies
+from ..operators import answers, matching, pairing, replies
 from ..operators.validate import schema_errors
 from ..shared import folder
 from ..streaming import outcomes
@@ -113,3 +113,15 @@ def schema_faults(spark, sf_dir):
     seen = F.when(F.col("doc_id") % 3 == 0, F.lit("2025-01-01T00:00:00Z")).otherwise(F.lit("2025-01-01"))
     raw = F.to_json(F.struct(F.col("doc_id").alias("id"), "lang", F.array("source", "lang").alias("tags"), seen.alias("seen"), F.col("n_chars").alias("size")))
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(schema_errors(raw, DOCUMENT_SCHEMA), "; ").alias("errors"))
+
+
+@query(ORACLES["theoretical_outcome"])
+def theoretical_by_spans(spark, sf_dir):
+    """``theoretical_outcome`` by way of a pyramid of spans."""
+    rows = table(spark, sf_dir, "events").withColumnRenamed("user_id", "instrument")
+    v = F.col("value")
+    ideas = rows.where("event_type = 'click'").select(F.col("event_id").alias("id"), "instrument", "ts", v.alias("entry"), (v + 50).alias("target"), (v - 50).alias("stop"))
+    bars = rows.where("event_type = 'view'").select("instrument", "ts", (v + 5).alias("high"), (v - 5).alias("low"))
+    pct = F.col("theoretical_pct")
+    ended = F.when(pct.isNull(), F.lit("open")).when(pct < 0, F.lit("stop")).otherwise(F.lit("target"))
+    return matching.first_touch_by_spans(ideas, bars, 48 * 3600, 900).select("id", ended.alias("ended"))
