@@ -34,7 +34,7 @@ def _chosen(rows: DataFrame, decisions: DataFrame, group: str, longest: bool) ->
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier keeps."""
+    """Rows that the classifier keeps: of repeated rows all or none, whatever their doc_id; null, empty and blank texts go."""
     return classify(docs, carry=COLUMNS).where("kept").select(COLUMNS)
 
 
@@ -59,7 +59,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences with their token ids' places and digests."""
+    """Pieces of training sequences with their token ids' places and digests; a row is packed as often as it comes, a null text as its end id."""
     return pack(docs, with_ids=False)
 
 
