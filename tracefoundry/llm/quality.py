@@ -237,8 +237,8 @@ def classify(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE, carr
     the scorer's.  Null, empty and blank texts have score 0 and are not kept.
     Texts of one to four words get no votes, so their weak label is the
     estimated share of good documents; the scorer judges them like others.
-    Repeated rows are judged alike, and are in the sample together or not at
-    all; so are rows with a null doc_id of one text.  An empty table gives an
+    Repeated rows are judged alike, but for rounding of the score from its
+    fifth decimal on, and are in the sample together or not at all; so are rows with a null doc_id of one text.  An empty table gives an
     empty result.
     """
     spark = docs.sparkSession
