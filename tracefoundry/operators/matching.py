@@ -72,7 +72,14 @@ def _touches(low: Column, high: Column) -> tuple[Column, Column]:
 
 def _result(stopped: Column) -> Column:
     way = F.when(F.col("target") >= F.col("entry"), 1.0).otherwise(-1.0)
-    return way * (F.when(stopped, F.col("stop")).otherwise(F.col("target")) - F.col("entry")) / F.col("entry") * 100
+    return way * (F.when(stopped, F.col("stop")).otherwise(F.col("target")) - F.col("entry")) / F.nullif(F.col("entry"), F.lit(0)) * 100
+
+
+def _ended(ideas: DataFrame, met: DataFrame) -> DataFrame:
+    """``ideas`` with ``theoretical_pct`` and ``stopped`` of the first of the bars in ``met`` that end them; of bars of one time, the stop."""
+    stopped = F.coalesce(_touches(F.col("low"), F.col("high"))[0], F.lit(False))
+    first = F.min_by(F.struct(_result(stopped).alias("theoretical_pct"), stopped.alias("stopped")), F.struct("__rt", ~stopped))
+    return ideas.join(met.groupBy("id").agg(first.alias("first")).select("id", "first.*"), "id", "left")
 
 
 def first_touch(ideas: DataFrame, bars: DataFrame, horizon_seconds: int) -> DataFrame:
@@ -151,8 +158,7 @@ def first_touch_by_spans(ideas: DataFrame, bars: DataFrame, horizon_seconds: int
     slots = own.select(*facts, F.explode(F.array_distinct(F.array("__first", "__last"))).alias("slot")).unionByName(at.select(*facts, F.col("span").alias("slot"))).distinct()
     rows = bars.select("instrument", "high", "low", micros(F.col("ts")).alias("__rt")).withColumn("slot", _buckets(F.col("__rt"), slot))
     met = slots.join(rows, ["instrument", "slot"]).where((F.col("__rt") > F.col("__lt")) & (F.col("__rt") <= F.col("__lt") + width) & touch)
-    done = met.groupBy("id").agg(F.min_by(_result(stopped), F.col("__rt")).alias("theoretical_pct"))
-    return ideas.join(done, "id", "left")
+    return _ended(ideas, met)
 
 
 def read_back_verdicts(records: DataFrame, reviews: DataFrame) -> DataFrame:

@@ -122,6 +122,7 @@ def theoretical_by_spans(spark, sf_dir):
     v = F.col("value")
     ideas = rows.where("event_type = 'click'").select(F.col("event_id").alias("id"), "instrument", "ts", v.alias("entry"), (v + 50).alias("target"), (v - 50).alias("stop"))
     bars = rows.where("event_type = 'view'").select("instrument", "ts", (v + 5).alias("high"), (v - 5).alias("low"))
-    pct = F.col("theoretical_pct")
-    ended = F.when(pct.isNull(), F.lit("open")).when(pct < 0, F.lit("stop")).otherwise(F.lit("target"))
+    # not by the sign of the result, which an entry at 0 has none of
+    stopped = F.col("stopped")
+    ended = F.when(stopped.isNull(), F.lit("open")).when(stopped, F.lit("stop")).otherwise(F.lit("target"))
     return matching.first_touch_by_spans(ideas, bars, 48 * 3600, 900).select("id", ended.alias("ended"))
