@@ -45,3 +45,7 @@ def test_spans_result_of_an_entry_at_zero(spark, kind):
         got = {r["id"]: (r["theoretical_pct"], r["stopped"]) for r in matching.first_touch_by_spans(ideas, bars, 5 * 3600).collect()}
         assert got == {1: (None, False), 2: (-10.0, True)}
         bars = bars.orderBy("high" if _ else F.desc("high"))
+
+
+def test_theoretical_outcome_with_entries_at_zero(spark, tmp_path):
+    _agrees(spark, tmp_path, "theoretical_outcome")

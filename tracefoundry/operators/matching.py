@@ -86,7 +86,9 @@ def first_touch(ideas: DataFrame, bars: DataFrame, horizon_seconds: int) -> Data
     """Theoretical result of ideas (id, instrument, ts, entry, target, stop) on bars (instrument, ts, high, low).
 
     The first bar after the idea that touches the stop or the target ends it;
-    a bar that touches both counts as the stop.  Null if none does in time.
+    a bar that touches both counts as the stop.  ``stopped`` says which; it and
+    ``theoretical_pct`` are null if none does in time, and the result of an
+    entry at 0 is null too.
     An idea meets every bar of its horizon: :func:`first_touch_by_spans` does
     not, which pays where a horizon has more than some hundred bars.
     """
@@ -96,8 +98,7 @@ def first_touch(ideas: DataFrame, bars: DataFrame, horizon_seconds: int) -> Data
     r = r.withColumn("__b", F.explode(F.array(_buckets(F.col("__rt"), width), _buckets(F.col("__rt"), width) - 1)))
     stopped, reached = _touches(F.col("low"), F.col("high"))
     met = l.join(r, ["instrument", "__b"]).where((F.col("__rt") > F.col("__lt")) & (F.col("__rt") <= F.col("__lt") + width) & (stopped | reached))
-    done = met.groupBy("id").agg(F.min_by(_result(stopped), F.col("__rt")).alias("theoretical_pct"))
-    return ideas.join(done, "id", "left")
+    return _ended(ideas, met)
 
 
 #: Spans of one level in a span of the next.

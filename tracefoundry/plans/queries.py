@@ -426,8 +426,9 @@ def theoretical_outcome(spark, sf_dir):
     v = F.col("value")
     ideas = rows.where("event_type = 'click'").select(F.col("event_id").alias("id"), "instrument", "ts", v.alias("entry"), (v + 50).alias("target"), (v - 50).alias("stop"))
     bars = rows.where("event_type = 'view'").select("instrument", "ts", (v + 5).alias("high"), (v - 5).alias("low"))
-    pct = F.col("theoretical_pct")
-    return matching.first_touch(ideas, bars, 48 * 3600).select("id", F.when(pct.isNull(), F.lit("open")).when(pct < 0, F.lit("stop")).otherwise(F.lit("target")).alias("ended"))
+    # not by the sign of the result, which an entry at 0 has none of
+    stopped = F.col("stopped")
+    return matching.first_touch(ideas, bars, 48 * 3600).select("id", F.when(stopped.isNull(), F.lit("open")).when(stopped, F.lit("stop")).otherwise(F.lit("target")).alias("ended"))
 
 
 @query(r"SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY md5(regexp_replace(regexp_replace(lower(text), 'https?://\S+', ' ', 'g'), '[^a-z0-9_À-ɏ]+', '', 'g')) ORDER BY doc_id) = 1")
