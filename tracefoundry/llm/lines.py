@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .common import FILTERED, bloom_filters, cut, drop_cut, ship, spread_join
-from .components import connected_components
-from .minhash import Scheme, banded, buckets_of, links_of, sketch
+from .minhash import Scheme, banded, buckets_of, components_of, sketch
 
 #: Characters of a shingle; the code below reads them as one 64-bit integer where each is one byte.
 CHARS = 8
@@ -125,14 +124,14 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
     rows = cut(found.join(wanted.select("k1", F.col("line_id").alias("doc_id")), "k1").select("bucket", "doc_id", "size"), "op8-rows")
     by_doc = cut(wanted.groupBy("doc_id", "whole").agg(F.collect_list(F.struct("line_no", "line_id")).alias("want")), "op8-asked").where(FILTERED)
     whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("whole", F.xxhash64("text"))
-    asked = whole.join(by_doc, ["doc_id", "whole"]).select(F.split("text", "\n").alias("lines"), "want")
+    # rows repeated whole are met once, where the join has dealt and sorted them anyway
+    asked = whole.join(by_doc, ["doc_id", "whole"]).dropDuplicates(["doc_id", "whole"]).select(F.split("text", "\n").alias("lines"), "want")
     line = F.expr("transform(want, w -> struct(w.line_id as doc_id, lower(trim(lines[cast(w.line_no as int)])) as text))")
     texts = asked.select(F.inline(line))
     with bloom_filters(spark):
-        texts = cut(texts.dropDuplicates(["doc_id"]), "op8-texts")
+        texts = cut(texts, "op8-texts")
     drop_cut(met, by_doc)
-    links = links_of(rows, texts, SCHEME, percent)
-    joined = connected_components(links, "op8-all")
+    joined = components_of(rows, texts, SCHEME, percent)
     drop_cut(rows, texts)
 
     linked = wanted.join(joined, F.col("line_id") == F.col("node")).select("k1", "k2", "component", F.struct("doc_id", "line_no", "whole").alias("place"))

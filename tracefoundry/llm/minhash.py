@@ -13,10 +13,10 @@ From candidates to links without all pairs of a bucket:
    buckets with others; pairs are confirmed on full sets;
 2. members of buckets that are not yet connected are looked at again, in
    blocks of bounded rows and bytes.  A block's intersections are one product
-   of incidence matrices; it returns at most one edge per document.  Of very
-   large sets that buckets connect, members without a shingle in common with
-   another component among their rarest ones are left out first
-   (:func:`_alive`).
+   of incidence matrices; it returns at most one edge per document, between
+   components of the first step.  Of very large sets that buckets connect,
+   members without a shingle in common with another component among their
+   rarest ones are left out first (:func:`_alive`).
 
 Pairs already connected need no test: only components are returned.
 """
@@ -73,6 +73,10 @@ DIRECT = 4 * BLOCK_ROWS
 #: Rows (bucket, document) sorted at a time where they arise, and rows of a range of buckets on average.
 CHUNK = 1 << 19
 MEET = 1 << 19
+#: Rows of small blocks compared at a time.
+TOGETHER = 128
+#: Shingles thrown at a time by the later rounds of a sketch.
+THROWS = 1 << 14
 #: Columns of an incidence matrix multiplied at a time.
 STRIP = 1024
 
@@ -84,13 +88,23 @@ def sketch(packed: np.ndarray, docs: int, scheme: Scheme = WORDS) -> np.ndarray:
     element = packed & np.uint64((1 << tk.FP_BITS) - 1)
     empty = np.uint64(2**64 - 1)
     best = np.full(docs * T, empty, dtype=np.uint64)
-    for r in range(2 * T):
-        if not len(owner):
-            break
-        h = tk.mix(element + np.uint64((r + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        place = ((h >> np.uint64(48)) * np.uint64(T) >> np.uint64(16)).astype(np.int64) if r < T else np.full(len(h), r - T)
-        np.minimum.at(best, owner * T + place, (np.uint64(r) << np.uint64(48)) | (h & np.uint64((1 << 48) - 1)))
-        open_ = (best.reshape(docs, T) == empty).any(axis=1)[owner]
+    r = 0
+    while r < 2 * T and len(owner):
+        # a later round never changes what an earlier one filled, so what few are left take many rounds at once
+        n = min(max(1, THROWS // len(owner)), (T if r < T else 2 * T) - r)
+        rounds = np.arange(r, r + n, dtype=np.uint64)[:, None]
+        h = tk.mix(element + (rounds + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        place = ((h >> np.uint64(48)) * np.uint64(T) >> np.uint64(16)).astype(np.int64) if r < T else (rounds - np.uint64(T)).astype(np.int64)
+        at, value = (owner * T + place).ravel(), ((rounds << np.uint64(48)) | (h & np.uint64((1 << 48) - 1))).ravel()
+        if r:
+            free = best[at] == empty
+            at, value = at[free], value[free]
+        np.minimum.at(best, at, value)
+        r += n
+        # rows are sorted by owner
+        head = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        open_ = (best.reshape(docs, T)[owner[head]] == empty).any(axis=1)
+        open_ = np.repeat(open_, np.diff(np.append(head, len(owner))))
         owner, element = owner[open_], element[open_]
     return tk.mix(best).reshape(docs, T)
 
@@ -210,9 +224,25 @@ def _shared(owner: np.ndarray, value: np.ndarray, left: np.ndarray, right: np.nd
     return both
 
 
+def _together(groups: Iterator[pa.Table]) -> Iterator[pa.Table]:
+    """Blocks that meet themselves, several small ones at a time: rows of different groups share no bucket, so none links them."""
+    held: list[pa.Table] = []
+    for group in groups:
+        small = group.num_rows <= TOGETHER and group.column("side")[0].as_py() == 2
+        if held and (not small or sum(t.num_rows for t in held) + group.num_rows > TOGETHER or sum(t.nbytes for t in held) + group.nbytes > BLOCK_BYTES):
+            yield pa.concat_tables(held)
+            held = []
+        if small:
+            held.append(group)
+        else:
+            yield group
+    if held:
+        yield pa.concat_tables(held)
+
+
 def _blocks(shingler: Shingler, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in tk.runs(batches, "pair"):
+        for group in _together(tk.runs(batches, "pair")):
             comp, ids, side = (group.column(c).to_numpy() for c in ("component", "doc_id", "side"))
             owners, elements, n = [], [], []
             for row, data, offsets in tk.slices(group.column("text").combine_chunks()):
@@ -230,7 +260,7 @@ def _blocks(shingler: Shingler, percent: int):
                 lists = group.column("buckets").combine_chunks()
                 owner = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
                 hit &= _shared(owner, lists.flatten().to_numpy(), left, right, len(ids)) > 0
-            low, high = hooks(hit, ids[left], ids[right])
+            low, high = hooks(hit, comp[left], comp[right])
             yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
     return run
@@ -372,8 +402,8 @@ def _meetings(unsettled: DataFrame, texts: DataFrame, scheme: Scheme, percent: i
     return meet.groupBy("group", "doc_id", "component").agg(F.collect_list("bucket").alias("buckets"))
 
 
-def links_of(rows: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) -> DataFrame:
-    """Edges (a, b) whose components are those of all pairs in a bucket that reach ``percent``.
+def components_of(rows: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) -> DataFrame:
+    """(node, component) of the documents that pairs in a bucket reaching ``percent`` connect, as a table.
 
     ``rows`` (bucket, doc_id, size) are those of :func:`buckets_of`, each
     once; ``texts`` (doc_id, text) has each document once.
@@ -396,7 +426,7 @@ def links_of(rows: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) ->
     mixed = cut(mixed, f"{name}-mixed")
     unsettled = spread_join(tagged, mixed, ["bucket"], "others", tagged.count(), "inner").where("mixed").select(tagged.columns)
     unsettled = cut(unsettled, f"{name}-unsettled")
-    drop_cut(pivots, labels, tagged, mixed)
+    drop_cut(links, pivots, tagged, mixed)
 
     members = cut(_meetings(unsettled, texts, scheme, percent).join(texts, "doc_id"), f"{name}-members")
     load = members.groupBy("group").agg(
@@ -413,7 +443,16 @@ def links_of(rows: DataFrame, texts: DataFrame, scheme: Scheme, percent: int) ->
     placed = spread.repartition(width(spark), "pair").sortWithinPartitions("pair", "doc_id")
     more = cut(placed.mapInArrow(_blocks(scheme.shingler, percent), "a long, b long"), f"{name}-more")
     drop_cut(unsettled, members)
-    return links.union(more)
+
+    # blocks found links between components, so the documents of a component need not be walked again
+    joined = connected_components(more, f"{name}-all").withColumnRenamed("component", "whole")
+    sizes = labels.groupBy(F.col("component").alias("node")).agg(F.count("*").alias("docs"))
+    renamed = cut(joined.join(sizes, "node", "left").select(F.col("node").alias("component"), "whole", "docs"), f"{name}-renamed")
+    found = spread_join(labels, renamed.where("docs is not null"), ["component"], "docs", labels.count())
+    alone = renamed.where("docs is null").select(F.col("component").alias("node"), F.col("whole").alias("component"))
+    out = cut(found.select("node", F.coalesce("whole", "component").alias("component")).union(alone), f"{name}-joined")
+    drop_cut(labels, more, renamed)
+    return out
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -439,8 +478,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = narrowed(texts, asked, ["doc_id"], "op7-near")
     once = cut(texts.groupBy("doc_id").agg(F.max_by("text", "whole").alias("text")), "op7-texts")
     drop_cut(texts, asked)
-    links = links_of(rows, once, WORDS, percent)
-    joined = cut(connected_components(links, "op7-all"), "op7-joined")
+    joined = components_of(rows, once, WORDS, percent)
     drop_cut(rows, once)
 
     named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", "times", F.coalesce("component", "rep").alias("component_id"))
